@@ -1,0 +1,10 @@
+"""Queries over the driver's tables."""
+
+from __future__ import annotations
+
+from sievework.operators import nested
+from sievework.session import table
+
+QUERIES = {"p2_found": lambda spark, sf_dir: nested.found(table(spark, sf_dir, "problem_records"))}
+QUERIES["best_of_n"] = QUERIES["p2_found"]
+ORACLES = {}
