@@ -132,7 +132,7 @@ ORACLES: dict[str, str] = {
     # runs of eight words that began earlier in the same text, over all texts
     "p4_found": r"""
         WITH words AS (
-          SELECT attempt_id, list_filter(regexp_extract_all(lower(detailed_solution), '\pL+'), x -> x <> '') AS w
+          SELECT attempt_id, regexp_extract_all(lower(detailed_solution), '\pL+') AS w
           FROM model_solutions WHERE detailed_solution IS NOT NULL),
         starts AS (
           SELECT attempt_id, len(w) AS n, unnest(range(1, len(w) - 6)) AS i, w FROM words WHERE len(w) >= 8),
