@@ -371,6 +371,7 @@ def rendered(kinds: list[tuple[str, str]], style: str, draw: random.Random) -> l
                 k += 1
                 run.append(kinds[k][1])
             bare = [regex.sub(r"^\s*-\s+", "", x) for x in run]
+            bare = [x if draw.random() < 0.7 else x.split(" ")[0][: draw.randrange(1, 12)] or "x" for x in bare]
             if draw.random() < 0.4:
                 out += [(x, "item") for x in run]
             elif style == "html":
