@@ -111,6 +111,17 @@ def weighted_draws(weights: DataFrame, draws: DataFrame, key: str, weight: str,
 
 
 def previous(df: DataFrame, by: str, order: Sequence[str], value: str) -> Column:
-    """The list of earlier non-empty values of the group, in order (the running context of a topic)."""
+    """The list of earlier non-empty values of the group, in order (the running context of a topic).
+
+    Lists grow with the group: for the few rows that are due, after ``latest_before`` has
+    told how much context there is; not for a whole table.
+    """
     w = Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return F.collect_list(F.when(F.length(F.trim(F.col(value))) > 0, F.col(value))).over(w)
+
+
+def latest_before(df: DataFrame, by: str, order: Sequence[str], value: str) -> DataFrame:
+    """``df`` with the number of earlier non-empty values of its group and the last of them: constant state a row."""
+    w = Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    full = F.when(F.length(F.trim(F.col(value))) > 0, F.col(value))
+    return df.withColumn("earlier", F.count(full).over(w)).withColumn("last_earlier", F.last(full, ignorenulls=True).over(w))

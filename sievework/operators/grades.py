@@ -69,11 +69,17 @@ def append(base: DataFrame, new: DataFrame, keys: Sequence[str], index: str, ord
     return base.unionByName(numbered, allowMissingColumns=True)
 
 
-def to_documents(grades: DataFrame, problem: str, grader: str, index: str = "run_index", metrics: Sequence[str] = METRICS) -> DataFrame:
-    """Document form: problem, map grader -> grades by index. Graders of a problem are few, their runs are not
-    unbounded: a grader adds one per run of the pipeline."""
-    lists = grades.groupBy(problem, grader).agg(F.sort_array(F.collect_list(F.struct(F.col(index), F.col("grade_row_id"), *metrics))).alias("runs"))
-    return lists.groupBy(problem).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(grader, "runs")))).alias("quality_gradings"))
+def to_documents(grades: DataFrame, problem: str, grader: str, index: str = "run_index", metrics: Sequence[str] = METRICS, most: int = 5000) -> DataFrame:
+    """Document form: problem, part, map grader -> grades by index.
+
+    A problem of more than ``most`` grades comes in several parts (by a hash of the row id),
+    so no document, and no task's list, grows with a hot problem.
+    """
+    large = grades.groupBy(problem).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most)
+    parts = F.coalesce(F.ceil(F.col("_n") / most), F.lit(1))
+    placed = grades.join(large, problem, "left").withColumn("part", F.pmod(F.xxhash64("grade_row_id"), parts).cast("int")).drop("_n")
+    lists = placed.groupBy(problem, "part", grader).agg(F.sort_array(F.collect_list(F.struct(F.col(index), F.col("grade_row_id"), *metrics))).alias("runs"))
+    return lists.groupBy(problem, "part").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(grader, "runs")))).alias("quality_gradings"))
 
 
 def from_documents(documents: DataFrame, problem: str, grader: str) -> DataFrame:

@@ -272,16 +272,12 @@ def seed_limit_index(spark, sf_dir):
     return allocate.numbered(both.orderBy("kind", "pair_id").limit(40), ["kind", "pair_id"], "index_no", 101)
 
 
-@query("""SELECT problem_key, count(CASE WHEN trim(problem_description) <> '' THEN 1 END) OVER w AS earlier, md5(coalesce(string_agg(CASE WHEN trim(problem_description) <> '' THEN problem_description END, '|' ORDER BY problem_key) OVER w, '')) AS context
-  FROM problem_metadata WHERE topic_entry_id IN (SELECT topic_entry_id FROM topics WHERE difficulty_level = 'Postgraduate') WINDOW w AS (PARTITION BY topic_entry_id ORDER BY problem_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+@query("""SELECT problem_key, count(d) OVER w AS earlier, last_value(d IGNORE NULLS) OVER w AS last_earlier
+  FROM (SELECT problem_key, topic_entry_id, CASE WHEN trim(problem_description) <> '' THEN problem_description END AS d FROM problem_metadata WHERE topic_entry_id IS NOT NULL)
+  WINDOW w AS (PARTITION BY topic_entry_id ORDER BY problem_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
 def previous_context(spark, sf_dir):
-    topics = table(spark, sf_dir, "topics").where("difficulty_level = 'Postgraduate'").select("topic_entry_id")
-    problems = table(spark, sf_dir, "problem_metadata").join(F.broadcast(topics), "topic_entry_id", "left_semi")
-    seen = problems.withColumn("seen", allocate.previous(problems, "topic_entry_id", ["problem_key"], "problem_description"))
-    return seen.select("problem_key", F.size("seen").cast("bigint").alias("earlier"), F.md5(F.array_join("seen", "|")).alias("context"))
-
-
-ORACLES.pop("previous_context")  # the window of the hot topic is quadratic in SQL; tested against brute force
+    problems = table(spark, sf_dir, "problem_metadata").where("topic_entry_id is not null").select("problem_key", "topic_entry_id", "problem_description")
+    return allocate.latest_before(problems, "topic_entry_id", ["problem_key"], "problem_description").select("problem_key", "earlier", "last_earlier")
 
 
 @query("SELECT doc_id, CASE WHEN k <= total - (total - floor(total * 0.8)::bigint) THEN 'train' ELSE 'val' END AS part FROM (SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS k, count(*) OVER () AS total FROM documents)")

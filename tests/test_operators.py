@@ -37,6 +37,17 @@ def test_two_rules_of_the_latest_grade(spark):
     assert (r.m, r.score) == ("a", 20)
 
 
+def test_running_context_and_parts_of_a_hot_problem(spark):
+    df = spark.createDataFrame([(1, "t", "a"), (2, "t", " "), (3, "t", None), (4, "t", "b"), (5, "u", "c")], "k int, topic string, d string")
+    full = df.select("k", allocate.previous(df, "topic", ["k"], "d").alias("p")).orderBy("k").collect()
+    assert [r.p for r in full] == [[], ["a"], ["a"], ["a"], []]
+    short = allocate.latest_before(df, "topic", ["k"], "d").orderBy("k").collect()
+    assert [(r.earlier, r.last_earlier) for r in short] == [(0, None), (1, "a"), (1, "a"), (1, "a"), (0, None)]
+    rows = spark.range(100).selectExpr("id as grade_row_id", "1 as p", "'m' as g", "cast(id as int) as run_index", *(f"80 as {m}" for m in grades.METRICS))
+    docs = grades.to_documents(rows, "p", "g", most=30)
+    assert docs.count() == 4 and grades.from_documents(docs, "p", "g").select("grade_row_id").distinct().count() == 100
+
+
 def test_passes_threshold_and_nulls(spark):
     df = spark.createDataFrame([(80, 80), (79, 90), (None, 90)], "a int, b int")
     assert [r[0] for r in df.select(grades.passes(("a", "b"), 0.8)).collect()] == [True, False, False]

@@ -37,20 +37,6 @@ def test_entry_runs(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-def test_previous_context_by_brute_force(spark, sf):
-    import hashlib
-
-    topics = {r.topic_entry_id for r in spark.read.parquet(f"{sf}/topics.parquet").where("difficulty_level = 'Postgraduate'").collect()}
-    seen, want = {}, {}
-    for r in spark.read.parquet(f"{sf}/problem_metadata.parquet").orderBy("problem_key").collect():
-        if r.topic_entry_id in topics:
-            before = seen.setdefault(r.topic_entry_id, [])
-            want[r.problem_key] = (len(before), hashlib.md5("|".join(before).encode()).hexdigest())
-            if (r.problem_description or "").strip():
-                before.append(r.problem_description)
-    assert {r.problem_key: (r.earlier, r.context) for r in core.QUERIES["previous_context"](spark, sf).collect()} == want
-
-
 def test_weighted_sample_is_stable_and_in_proportion(spark, sf):
     one = {tuple(r) for r in core.QUERIES["weighted_sample"](spark, sf).collect()}
     assert one == {tuple(r) for r in core.QUERIES["weighted_sample"](spark, sf).collect()}
