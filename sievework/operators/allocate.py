@@ -59,7 +59,7 @@ def totals(assignment: DataFrame, key: str, target: int) -> DataFrame:
 def first_match(left: DataFrame, right: DataFrame, key: str, order: str) -> DataFrame:
     """Inner join on the first row of ``right`` per key; rows without a match are left out."""
     others = [c for c in right.columns if c != key]
-    once = right.groupBy(key).agg(F.min_by(F.struct(*others), order).alias("r")).select(key, "r.*")
+    once = right.groupBy(key).agg(F.min_by(F.struct(*others), order).alias("_r")).select(key, "_r.*")
     return left.join(once, key)
 
 

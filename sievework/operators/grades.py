@@ -17,7 +17,7 @@ def latest(grades: DataFrame, keys: Sequence[str], index: str = "run_index", tie
     """
     others = [c for c in grades.columns if c not in keys]
     order = F.struct(F.coalesce(F.col(index), F.lit(-(2**31))), *((-F.col(t)).alias(f"_{t}") for t in tie))
-    return grades.groupBy(*keys).agg(F.max_by(F.struct(*others), order).alias("g")).select(*keys, "g.*")
+    return grades.groupBy(*keys).agg(F.max_by(F.struct(*others), order).alias("_g")).select(*keys, "_g.*")
 
 
 def first_model_last_grade(grades: DataFrame, problem: str, model: str, model_order: Column, grade_order: Sequence[str]) -> DataFrame:
@@ -25,7 +25,7 @@ def first_model_last_grade(grades: DataFrame, problem: str, model: str, model_or
     first = grades.groupBy(problem).agg(F.min_by(F.col(model), model_order).alias(model))
     mine = grades.join(first, [problem, model], "left_semi")
     others = [c for c in grades.columns if c != problem]
-    return mine.groupBy(problem).agg(F.max_by(F.struct(*others), F.struct(*grade_order)).alias("g")).select(problem, "g.*")
+    return mine.groupBy(problem).agg(F.max_by(F.struct(*others), F.struct(*grade_order)).alias("_g")).select(problem, "_g.*")
 
 
 def passes(metrics: Sequence[str], threshold: float, optional: Column | None = None) -> Column:
@@ -48,7 +48,7 @@ def only_failing(grades: DataFrame, problem: str, grader: str, metric: str, thre
 def comments(grades: DataFrame, problem: str, grader: str, metrics: Sequence[str] = ("problem_quality",)) -> DataFrame:
     """One row per comment: problem, grader, metric, score, comment; blank ones are left out."""
     each = F.explode(F.array(*(F.struct(F.lit(m).alias("metric"), F.col(m).alias("score"), F.col(f"{m}_comment").alias("comment")) for m in metrics)))
-    return grades.select(problem, grader, each.alias("c")).select(problem, grader, "c.*").where("comment is not null and trim(comment) <> ''")
+    return grades.select(problem, grader, each.alias("_c")).select(problem, grader, "_c.*").where("comment is not null and trim(comment) <> ''")
 
 
 def runs_needed(grades: DataFrame, problem: str, grader: str, wanted: int) -> DataFrame:
@@ -85,7 +85,7 @@ def to_documents(grades: DataFrame, problem: str, grader: str, index: str = "run
 def from_documents(documents: DataFrame, problem: str, grader: str) -> DataFrame:
     """The long form back from ``to_documents``."""
     models = documents.select(problem, F.explode("quality_gradings").alias(grader, "runs"))
-    return models.select(problem, grader, F.posexplode("runs").alias("pos", "g")).select(problem, grader, "pos", "g.*")
+    return models.select(problem, grader, F.posexplode("runs").alias("pos", "_g")).select(problem, grader, "pos", "_g.*")
 
 
 def migrate_legacy(documents: DataFrame, model_id: str, when: Column) -> DataFrame:

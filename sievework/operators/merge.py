@@ -29,9 +29,9 @@ def merge_attempts(base: DataFrame, incoming: DataFrame, keys: Sequence[str], ti
     on = [*keys, "_key", "_lone", "_nth"]
     rest = [c for c in base.columns if c not in keys]
     left, right = ready(base, "b"), ready(incoming, "i")
-    both = left.select(*on, F.struct(*rest).alias("b")).join(right.select(*on, F.struct(*rest).alias("i")), on, "full_outer")
-    origin = F.when(F.col("b").isNull(), "incoming").when(F.col("i").isNull(), "base").otherwise("both")
-    return both.select(*keys, *(F.coalesce(F.col(f"i.{c}"), F.col(f"b.{c}")).alias(c) for c in rest), origin.alias("merged_from"))
+    both = left.select(*on, F.struct(*rest).alias("_b")).join(right.select(*on, F.struct(*rest).alias("_i")), on, "full_outer")
+    origin = F.when(F.col("_b").isNull(), "incoming").when(F.col("_i").isNull(), "base").otherwise("both")
+    return both.select(*keys, *(F.coalesce(F.col(f"_i.{c}"), F.col(f"_b.{c}")).alias(c) for c in rest), origin.alias("merged_from"))
 
 
 def merge_assignment(ledger: DataFrame, new: DataFrame, topic: str, number: str) -> DataFrame:

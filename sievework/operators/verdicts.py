@@ -30,8 +30,8 @@ def first_attempts(attempts: DataFrame, keys: Sequence[str], order: Sequence[str
 
 def facts(attempts: DataFrame, result_col: str, keep: Sequence[str]) -> DataFrame:
     """One row per verdict: ``keep``, verdict_ord from 0, verified 1, 0 or null."""
-    out = attempts.select(*keep, F.posexplode(normalise(F.col(result_col))).alias("verdict_ord", "v"))
-    return out.select(*keep, "verdict_ord", F.expr("try_cast(v.verified as int)").alias("verified"))
+    out = attempts.select(*keep, F.posexplode(normalise(F.col(result_col))).alias("verdict_ord", "_v"))
+    return out.select(*keep, "verdict_ord", F.expr("try_cast(_v.verified as int)").alias("verified"))
 
 
 def share(part: Column, whole: Column) -> Column:
