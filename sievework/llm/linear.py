@@ -32,6 +32,10 @@ class Linear:
     bias: np.ndarray
     thresholds: np.ndarray
 
+    def parts(self) -> tuple:
+        """What makes the model, without its class: broadcasts are unpickled where this package need not be installed."""
+        return self.labels, self.weights, self.bias, self.thresholds
+
     def scores(self, rows: list[Features]) -> np.ndarray:
         """Probabilities, rows x labels."""
         out = np.empty((len(rows), len(self.labels)))

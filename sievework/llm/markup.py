@@ -557,10 +557,11 @@ def read(values: DataFrame, crf: Crf | None, with_text: bool) -> DataFrame:
     Null and empty texts have no leaves and stay null and empty; without a model (no texts
     at all) nothing is marked. Repeated rows are read alike. One narrow pass over whole texts.
     """
-    sent = values.sparkSession.sparkContext.broadcast(None if crf is None else Crf(crf.weights.astype(np.float32), crf.steps, crf.first, crf.last))
+    # plain arrays: what is broadcast is unpickled where this package need not be installed
+    sent = values.sparkSession.sparkContext.broadcast(None if crf is None else (crf.weights.astype(np.float32), crf.steps, crf.first, crf.last))
 
     def run(frames):
-        model, known = sent.value, {}
+        model, known = None if sent.value is None else Crf(*sent.value), {}
         for frame in frames:
             marked, kinds, texts = [], [], []
             for text in frame["text"]:

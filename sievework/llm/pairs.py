@@ -252,10 +252,11 @@ def judge(df: DataFrame, id_col: str = "pair_id", problem_col: str = "problem",
     usable = len(rows) >= 20
     counts = truncation.corpus_counts(filled.select(F.col("solution").alias("text"))) if usable else np.zeros((3, truncation.WORD_BUCKETS), np.int64)
     model = train(rows, counts) if usable else None
-    sent = df.sparkSession.sparkContext.broadcast((model, counts.astype(np.int32)))
+    sent = df.sparkSession.sparkContext.broadcast((model and {x: m.parts() for x, m in model.models.items()}, counts.astype(np.int32)))
 
     def run(frames):
-        fitted, seen = sent.value
+        made_, seen = sent.value
+        fitted = Judge({x: Linear(*parts) for x, parts in made_.items()}) if made_ else None
         for frame in frames:
             for a in range(0, len(frame), 300):
                 part = frame.iloc[a : a + 300]

@@ -250,10 +250,11 @@ def score(df: DataFrame, id_col: str, text_col: str, source_col: str, sample_row
     limits = limits_of(filled) if usable else {}
     counts = corpus_counts(filled.select("text")) if usable else np.zeros((3, WORD_BUCKETS), np.int64)
     model = train(rows, limits, counts) if usable else None
-    sent = df.sparkSession.sparkContext.broadcast((model, limits, counts.astype(np.int32)))
+    sent = df.sparkSession.sparkContext.broadcast((model and model.parts(), limits, counts.astype(np.int32)))
 
     def run(frames):
-        fitted, limit, seen = sent.value
+        made, limit, seen = sent.value
+        fitted = Linear(*made) if made else None
         for frame in frames:
             p = np.zeros(len(frame))
             if fitted is not None:
