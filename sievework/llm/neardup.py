@@ -126,7 +126,8 @@ def signatures(named: DataFrame) -> DataFrame:
                 words = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
                 of = np.repeat(np.arange(some.num_rows), sizes)
                 bits = sketch(words, of, some.num_rows)
-                for number, (low, high) in enumerate(bands(int(sizes.max(initial=0)))):
+                # up to the last band that the largest set enters, whatever else is in the slice
+                for number, (low, high) in enumerate(bands(math.ceil((int(sizes.max(initial=0)) + 1) / OVERLAP))):
                     before = bands(low)[number - 1][0] if number else low
                     inside = (sizes >= low) & (sizes < high) | (sizes >= max(before, math.floor(OVERLAP * low))) & (sizes < low)
                     at = np.flatnonzero(inside)
