@@ -1,18 +1,16 @@
-"""Near-duplicate records by PartEnum signatures.
-
-A text is the set of its words. Sets are put into size bands; within a band the words'
-domain is hashed into n1 x n2 parts, and for each of the n1 groups every choice of
-n2 - k2 of its parts gives one signature: the hash of the set's words in them. Two sets
-that differ in at most n1 (k2 + 1) - 1 words (counted on both sides) leave some group
-with at most k2 spoilt parts, so they share a signature for certain. Candidates pass a
-parity sketch and then the exact similarity. Equal sets form one class and enter once.
+"""Near-duplicate records by an exact prefix filter.
+
+A text is the set of its words, rarest first in an order that all sets share. Of two sets
+that are alike, each holds a common word among its first n - ceil(0.7 n) + 1 (n its size),
+so every such pair meets under one of these words: nothing is left to chance. Sets that
+meet and may be alike by size pass parity sketches of 64 and 256 bits, which never reject
+a pair that is alike, and then the exact similarity. Equal sets form one class and enter
+once. A word in many sets is split into cells of bounded size.
 """
 
 from __future__ import annotations
 
-import math
 from functools import reduce
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -25,43 +23,12 @@ from sievework.session import cut
 #: Share of words two texts must have in common, as a fraction of integers.
 ALIKE = (7, 10)
 FEWEST_WORDS = 8
-#: Ratio between the ends of a size band; sets in the top fifth of a band enter the next one too.
-BAND = 1.618
-OVERLAP = 0.8
-#: Differing words (as a share of the band's top size) up to which a shared signature is certain.
-CERTAIN = 0.2
-#: Distance of two unrelated sets, as a multiple of their size; only the choice of n1 and n2 uses it.
-UNRELATED = 1.5
-#: What a unit of chance collision costs against one more signature a set.
-COLLISION_COST = 3e5
-MOST_SIGNATURES = 1200
-
-
-def bands(largest: int) -> list[tuple[int, int]]:
-    """[low, high) sizes of the bands up to ``largest`` words."""
-    out, low = [], 1
-    while low <= largest:
-        high = max(low + 1, math.ceil(low * BAND)) if low >= 8 else 8
-        out.append((low, high))
-        low = high
-    return out
-
-
-def parameters(low: int, high: int) -> tuple[int, int, int]:
-    """(n1, n2, k2) of a band: the cheapest by signatures and expected chance collisions."""
-    certain = max(1, math.floor(CERTAIN * high))
-    apart = UNRELATED * math.sqrt(low * high)
-    best, chosen = math.inf, (certain + 1, 1, 0)
-    for n1 in range(1, certain + 2):
-        k2 = math.ceil((certain + 1) / n1) - 1
-        for n2 in range(k2 + 1, k2 + 9):
-            count = n1 * math.comb(n2, k2)
-            if count > MOST_SIGNATURES:
-                continue
-            cost = count * (1 + COLLISION_COST * math.exp(-apart * (n2 - k2) / (n1 * n2)))
-            if cost < best:
-                best, chosen = cost, (n1, n2, k2)
-    return chosen
+#: Buckets of the hashed word counts that order the words; the result does not depend on them.
+BUCKETS = 1 << 18
+#: Sets of one word, by its bucket's count, that are compared in one cell.
+CELL = 8192
+#: Rows of the sorted stream that are worked on at once, and rows of a block of comparisons.
+AT_ONCE, BLOCK = 200_000, 64
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -72,26 +39,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def band_signatures(low: int, high: int, number: int, words: np.ndarray, of: np.ndarray, count: int) -> np.ndarray:
-    """count x signatures of one band; ``words`` are 64-bit hashes, ``of`` the set of each."""
-    n1, n2, k2 = parameters(low, high)
-    salt = np.uint64(number * 0x9E3779B9 + 0x51ED270B)
-    part = (mixed(words.view(np.uint64) ^ salt) % np.uint64(n1 * n2)).astype(np.int64)
-    held = np.zeros(count * n1 * n2, np.uint64)
-    np.add.at(held, of * (n1 * n2) + part, mixed(words.view(np.uint64) + salt))
-    held = mixed(held + np.tile(np.arange(1, n1 * n2 + 1, dtype=np.uint64) * np.uint64(0x2545F4914F6CDD1D), count)).reshape(count, n1, n2)
-    choices = list(combinations(range(n2), n2 - k2))
-    out = np.empty((count, n1, len(choices)), np.uint64)
-    for c, parts in enumerate(choices):
-        out[:, :, c] = mixed(reduce(np.add, (held[:, :, p] for p in parts)) + np.uint64(((c + 1) * 0xD6E8FEB86659FD93 + int(salt)) % 2**64))
-    return out.reshape(count, -1)
-
-
 def sketch(words: np.ndarray, of: np.ndarray, count: int) -> np.ndarray:
-    """Bit k is the parity of the words that hash to k: it differs in at most as many bits as sets differ in words."""
-    bit = (mixed(words.view(np.uint64) ^ np.uint64(0xA5A5A5A5)) >> np.uint64(58)).astype(np.int64)
-    odd = np.bincount(of * 64 + bit, minlength=count * 64).reshape(count, 64).astype(np.uint64) & np.uint64(1)
-    return np.bitwise_or.reduce(odd << np.arange(64, dtype=np.uint64), axis=1).view(np.int64)
+    """count x 4 words of 64 bits. Bit k is the parity of the set's words that hash to k: sketches differ in at most as many bits as sets differ in words."""
+    bit = (mixed(words.view(np.uint64) ^ np.uint64(0xA5A5A5A5)) >> np.uint64(56)).astype(np.int64)
+    odd = np.bincount(of * 256 + bit, minlength=count * 256).reshape(count, 4, 64).astype(np.uint64) & np.uint64(1)
+    return np.bitwise_or.reduce(odd << np.arange(64, dtype=np.uint64), axis=2)
 
 
 def word_sets(records: DataFrame) -> DataFrame:
@@ -114,50 +66,133 @@ def classes(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     return cut(named.select("table_name", "rep", "words")), members
 
 
-def signatures(named: DataFrame) -> DataFrame:
-    """A row (sig, table_name, rep, n, sketch) per signature of each class."""
+def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all words of a list column, the set of each, and the sets' sizes."""
+    sizes = np.diff(column.offsets.to_numpy())
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.repeat(np.arange(len(column)), sizes), sizes
+
+
+def bucket(words: np.ndarray) -> np.ndarray:
+    return (mixed(words.view(np.uint64)) % np.uint64(BUCKETS)).astype(np.int64)
+
+
+def word_counts(hashed: DataFrame) -> np.ndarray:
+    """Sets by bucket of their words: a fixed number of sums, whatever the table."""
 
     def run(batches):
+        held = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                some = batch.slice(start, 512)
-                column = some.column(2)
-                sizes = np.diff(column.offsets.to_numpy())
-                words = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                of = np.repeat(np.arange(some.num_rows), sizes)
+            held += np.bincount(bucket(flat(batch.column(0))[0]), minlength=BUCKETS)
+        at = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(held[at])], names=["bucket", "n"])
+
+    sums = hashed.select("words").mapInArrow(run, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(BUCKETS, np.int64)
+    counts[sums.column("bucket").to_numpy()] = sums.column("n").to_numpy()
+    return counts
+
+
+def prefixes(hashed: DataFrame, counts: np.ndarray) -> DataFrame:
+    """A row (t, word, cell, side, rep, n, s0..s3) per word of each set's prefix and cell it takes part in.
+
+    A word in more than CELL sets has its sets in blocks by hash; cell (i, j), i <= j, holds
+    blocks i and j as sides 1 and 2, or block i alone as side 0, so that each two sets meet in one cell.
+    """
+    num, den = ALIKE
+    shipped = hashed.sparkSession.sparkContext.broadcast(counts)
+
+    def run(batches):
+        counts = shipped.value
+        for batch in batches:
+            for start in range(0, batch.num_rows, 2048):
+                some = batch.slice(start, 2048)
+                words, of, sizes = flat(some.column(2))
                 bits = sketch(words, of, some.num_rows)
-                # up to the last band that the largest set enters, whatever else is in the slice
-                for number, (low, high) in enumerate(bands(math.ceil((int(sizes.max(initial=0)) + 1) / OVERLAP))):
-                    before = bands(low)[number - 1][0] if number else low
-                    inside = (sizes >= low) & (sizes < high) | (sizes >= max(before, math.floor(OVERLAP * low))) & (sizes < low)
-                    at = np.flatnonzero(inside)
-                    if not at.size:
-                        continue
-                    place = np.full(some.num_rows, -1)
-                    place[at] = np.arange(at.size)
-                    mine = inside[of]
-                    sigs = band_signatures(low, high, number, words[mine], place[of[mine]], at.size)
-                    take = pa.array(np.repeat(at, sigs.shape[1]))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(sigs.reshape(-1).view(np.int64)), some.column(0).take(take), some.column(1).take(take), pa.array(sizes.astype(np.int32)).take(take), pa.array(bits).take(take)],
-                        names=["sig", "t", "rep", "n", "sketch"],
-                    )
-
-    hashed = named.select(F.col("t"), "rep", F.transform("words", lambda w: F.xxhash64(w)).alias("words"))
-    return hashed.mapInArrow(run, "sig bigint, t int, rep bigint, n int, sketch bigint")
+                often = counts[bucket(words)]
+                order = np.lexsort((words, often, of))
+                place = np.arange(words.size) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                kept = order[place < (sizes + (-num * sizes // den) + 1)[of]]
+                blocks = -(-often[kept] // CELL)
+                row = np.repeat(of[kept], blocks)
+                word = np.repeat(words[kept], blocks)
+                other = np.arange(row.size) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+                wide = np.repeat(blocks, blocks)
+                reps = some.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+                own = (mixed(reps[row].view(np.uint64) + np.uint64(77)) % wide.astype(np.uint64)).astype(np.int64)
+                cell = np.minimum(own, other) * wide + np.maximum(own, other)
+                side = np.where(own == other, 0, np.where(own < other, 1, 2)).astype(np.int8)
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0).take(pa.array(row)), pa.array(word), pa.array(cell), pa.array(side), pa.array(reps[row]), pa.array(sizes[row].astype(np.int32)), *(pa.array(bits[row, k].view(np.int64)) for k in range(4))],
+                    names=["t", "word", "cell", "side", "rep", "n", "s0", "s1", "s2", "s3"],
+                )
+
+    return hashed.select("t", "rep", "words").mapInArrow(run, "t int, word bigint, cell bigint, side tinyint, rep bigint, n int, s0 bigint, s1 bigint, s2 bigint, s3 bigint")
+
+
+def meeting(n: np.ndarray, side: np.ndarray, bits: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (i, j) of rows of one cell that may be alike; cells end at ``ends``, rows within by size."""
+    num, den = ALIKE
+    short = np.bitwise_xor.reduce(bits, axis=1)
+    left, right, start = [], [], 0
+    for end in ends:
+        for i in range(start, end - 1, BLOCK):
+            stop = min(i + BLOCK, end)
+            most = int(n[stop - 1])
+            last = start + int(np.searchsorted(n[start:end], most * den // num, "right"))
+            near = np.bitwise_count(short[i:stop, None] ^ short[None, i:last]) <= np.minimum((n[i:last] + most) * (den - num) // (num + den), 64).astype(np.uint8)
+            x, y = np.nonzero(near)
+            x, y = x[x < y] + i, y[x < y] + i
+            both = n[x] + n[y]
+            fit = (n[x] * den >= n[y] * num) & ((side[x] == 0) | (side[x] != side[y]))
+            x, y, both = x[fit], y[fit], both[fit]
+            fit = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64) * (num + den) <= both * (den - num)
+            left.append(x[fit])
+            right.append(y[fit])
+        start = end
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *left]), np.concatenate([none, *right])
+
+
+def candidates(rows: DataFrame) -> DataFrame:
+    """(t, a, b), a < b: sets that share a prefix word and may be alike by size and sketch, each pair once."""
+
+    def work(held):
+        t, word, cell, side, rep, n, *bits = (held.column(k).to_numpy() for k in range(10))
+        n = n.astype(np.int64)
+        new = np.flatnonzero((np.diff(t) != 0) | (np.diff(word) != 0) | (np.diff(cell) != 0)) + 1
+        starts, ends = np.append(0, new), np.append(new, t.size)
+        x, y = meeting(n, side, np.stack(bits, axis=1).view(np.uint64), ends) if (ends - starts > 1).any() else (np.zeros(0, np.int64),) * 2
+        pairs = np.unique(np.stack([t[x].astype(np.int64), np.minimum(rep[x], rep[y]), np.maximum(rep[x], rep[y])], axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].astype(np.int32)), pa.array(pairs[:, 1]), pa.array(pairs[:, 2])], names=["t", "a", "b"])
+
+    def run(batches):
+        waiting, count = [], 0
+        for batch in batches:
+            waiting.append(batch)
+            count += batch.num_rows
+            if count < AT_ONCE:
+                continue
+            held = pa.Table.from_batches(waiting).combine_chunks()
+            t, word, cell = (held.column(k).to_numpy() for k in range(3))
+            # the last cell may go on in the next batch
+            whole = int(np.flatnonzero((t != t[-1]) | (word != word[-1]) | (cell != cell[-1])).max(initial=-1)) + 1
+            if whole:
+                yield work(held.slice(0, whole))
+            waiting, count = held.slice(whole).to_batches(), held.num_rows - whole
+        if count:
+            yield work(pa.Table.from_batches(waiting).combine_chunks())
+
+    # a fixed number of tasks: they are small to read and long to run
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = rows.repartition(tasks, "t", "word", "cell").sortWithinPartitions("t", "word", "cell", "n")
+    return ordered.mapInArrow(run, "t int, a bigint, b bigint").distinct()
 
 
 def similar_classes(named: DataFrame) -> DataFrame:
     """(t, a, b), a < b: pairs of classes of one table that are alike; ``named`` is (t, rep, words)."""
     num, den = ALIKE
-    sigs = signatures(named)
-    left, right = sigs.select("sig", "t", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), sigs.select("sig", "t", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    near = (
-        (F.col("a") < F.col("b"))
-        & (F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
-        & (F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) * (num + den) <= (F.col("na") + F.col("nb")) * (den - num))
-    )
-    found = left.join(right, ["sig", "t"]).where(near).select("t", "a", "b").distinct()
+    hashed = named.select("t", "rep", F.transform("words", lambda w: F.xxhash64(w)).alias("words"))
+    found = candidates(prefixes(hashed, word_counts(hashed)))
     words = named.select("t", "rep", "words")
     both = found.join(words.select("t", F.col("rep").alias("a"), F.col("words").alias("wa")), ["t", "a"]).join(words.select("t", F.col("rep").alias("b"), F.col("words").alias("wb")), ["t", "b"])
     common = F.size(F.array_intersect("wa", "wb"))
@@ -173,9 +208,7 @@ def numbered(named: DataFrame) -> tuple[DataFrame, DataFrame]:
 def near_duplicates(records: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(links, members, names): links (t, a, b) between classes, members (t, id, rep), names of t.
 
-    ``records`` is (table_name, id, text). A shared signature, and so the link, is certain
-    for sets that differ in at most a fifth of the band's top size (similarity about 0.72 at
-    a band's lower end, 0.82 at its upper); between that and 0.7 it is likely (see README).
+    ``records`` is (table_name, id, text). Every link of similarity 0.7 or more is found.
     """
     named, members = classes(word_sets(records))
     coded, names = numbered(named)

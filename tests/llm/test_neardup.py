@@ -1,5 +1,7 @@
 """Near-duplicates at the borders of size and of physical batches."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from sievework.llm import neardup
@@ -19,3 +21,31 @@ def linked(spark, texts, parts):
 def test_link_does_not_depend_on_the_slice(spark):
     for small, large in ((95, 96), (58, 59), (12, 13), (155, 156)):
         assert linked(spark, [words(small), words(large)], 2) == {(0, 1)}, (small, large)
+
+
+def test_size_pairs_of_the_threshold(spark):
+    # contained sets whose sizes lie on both sides of a border, far apart
+    for small, large in ((46, 59), (75, 96), (27, 36), (123, 156), (201, 253)):
+        assert linked(spark, [words(small), words(large)], 2) == {(0, 1)}, (small, large)
+
+
+def test_all_pairs_by_brute_force_with_split_words(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "CELL", 7)
+    monkeypatch.setattr(neardup, "AT_ONCE", 300)
+    draw = random.Random(5)
+    texts = []
+    for size in (8, 9, 13, 22, 36, 64, 95, 160):
+        base = [f"w{k}" for k in range(size)]
+        for _ in range(14):
+            kept = draw.sample(base, len(base) - draw.randint(0, size // 5))
+            texts.append(" ".join(kept + [f"x{draw.randint(0, 40)}" for _ in range(draw.randint(0, size // 5))]))
+    sets = {}
+    for n, text in enumerate(texts):
+        if len(text.split()) >= neardup.FEWEST_WORDS:
+            sets.setdefault(frozenset(text.split()), n)
+    kept = sorted(sets.items(), key=lambda x: x[1])
+    want = {(i, j) for s, i in kept for r, j in kept if i < j and len(s & r) * 10 >= len(s | r) * 7}
+    rows = spark.createDataFrame([("t", n, texts[n]) for _, n in kept], "table_name string, id bigint, text string")
+    coded, _ = neardup.numbered(neardup.word_sets(rows).select("table_name", F.col("id").alias("rep"), "words"))
+    got = [(r.a, r.b) for r in neardup.similar_classes(coded).collect()]
+    assert len(want) > 200 and set(got) == want and len(got) == len(want)
