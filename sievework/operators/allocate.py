@@ -125,3 +125,20 @@ def latest_before(df: DataFrame, by: str, order: Sequence[str], value: str) -> D
     w = Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     full = F.when(F.length(F.trim(F.col(value))) > 0, F.col(value))
     return df.withColumn("earlier", F.count(full).over(w)).withColumn("last_earlier", F.last(full, ignorenulls=True).over(w))
+
+
+def context(df: DataFrame, by: str, order: Sequence[str], value: str) -> DataFrame:
+    """``df`` with ``earlier`` and ``position``: a row's whole context is the values of its group at positions up to ``earlier``.
+
+    Values that are null or empty have no position. Constant state a row, nothing is left out.
+    """
+    filled = F.length(F.trim(F.col(value))) > 0
+    w = Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    counted = df.withColumn("earlier", F.count(F.when(filled, F.lit(1))).over(w))
+    return counted.withColumn("position", F.when(filled, F.col("earlier") + 1))
+
+
+def context_lists(placed: DataFrame, by: str, value: str) -> DataFrame:
+    """(by, previous): all values of each group in order, for work that comes after them."""
+    rows = placed.where("position is not null").groupBy(by).agg(F.array_sort(F.collect_list(F.struct("position", value))).alias("_l"))
+    return rows.select(by, F.col("_l")[value].alias("previous"))

@@ -32,8 +32,11 @@ class Config:
     dry_run: bool = False
 
 
-def generation_plan(topics: DataFrame, config: Config, start: int = 1) -> DataFrame:
-    """(level, topic_id, problem_no, prompt): what would be generated."""
+def generation_plan(topics: DataFrame, config: Config, start: int = 1, previous: DataFrame | None = None) -> DataFrame:
+    """(level, topic_id, problem_no, prompt): what would be generated.
+
+    ``previous`` (id, position, description): each prompt lists all earlier descriptions of its topic.
+    """
     spark = topics.sparkSession
     order = {r["level"]: r["level_ord"] for r in topics.select("level", "level_ord").distinct().collect()}
     unknown = set(config.level_split) - set(order)
@@ -44,12 +47,19 @@ def generation_plan(topics: DataFrame, config: Config, start: int = 1) -> DataFr
     counts = allocate.level_counts(levels, config.num_problems)
     work = allocate.distribute(counts, topics, "level", "level_ord", "id", "topic_ord", start)
     template = "Topic: {{TITLE}}\n{{DESCRIPTION}}\n" + T.task_instructions(*config.tasks, config.dependent)
-    return work.join(topics.select("id", "topic", "description"), "id").select("level", F.col("id").alias("topic_id"), "problem_no", T.prompt(template, TITLE=F.col("topic"), DESCRIPTION=F.col("description")).alias("prompt"))
+    made = T.prompt(template, TITLE=F.col("topic"), DESCRIPTION=F.col("description"))
+    about = topics.select("id", "topic", "description")
+    if previous is not None:
+        lists = allocate.context_lists(previous.select("id", "position", "description"), "id", "description")
+        about = about.join(lists, "id", "left")
+        seen = F.concat(F.lit("\n\nPreviously generated problems in this topic:\n"), T.numbered_list(F.col("previous")), F.lit("\n\nMake a problem with tasks that differ from those listed; some similarity is acceptable, a copy is not."))
+        made = F.concat(made, F.coalesce(seen, F.lit("")))
+    return work.join(about, "id").select("level", F.col("id").alias("topic_id"), "problem_no", made.alias("prompt"))
 
 
-def generate(topics: DataFrame, config: Config, start: int = 1) -> DataFrame:
+def generate(topics: DataFrame, config: Config, start: int = 1, previous: DataFrame | None = None) -> DataFrame:
     """problem_id, level, topic_id and the sections of each answer; rows whose call failed keep their error."""
-    plan = generation_plan(topics, config, start)
+    plan = generation_plan(topics, config, start, previous)
     if config.dry_run:
         return plan
     said = cut(call(plan.withColumn("model", F.lit(config.generator)), config.provider, "prompt", "model"))
@@ -100,10 +110,10 @@ def solve(problems: DataFrame, config: Config, results: DataFrame | None = None)
     return failed if ends is None else ends.unionByName(failed)
 
 
-def run(topics: DataFrame, config: Config) -> dict[str, DataFrame]:
+def run(topics: DataFrame, config: Config, previous: DataFrame | None = None) -> dict[str, DataFrame]:
     """All stages: problems (with status), grades, solver results. Each is written before the next reads it."""
     spark = topics.sparkSession
-    problems = generate(topics, config)
+    problems = generate(topics, config, previous=previous)
     if config.dry_run:
         return {"plan": problems}
     problems = cut(problems)

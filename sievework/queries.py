@@ -280,6 +280,23 @@ def previous_context(spark, sf_dir):
     return allocate.latest_before(problems, "topic_entry_id", ["problem_key"], "problem_description").select("problem_key", "earlier", "last_earlier")
 
 
+@query("""SELECT problem_key, topic_entry_id, count(d) OVER w AS earlier, CASE WHEN d IS NOT NULL THEN count(d) OVER w + 1 END AS position, problem_description
+  FROM (SELECT *, CASE WHEN trim(problem_description) <> '' THEN problem_description END AS d FROM problem_metadata WHERE topic_entry_id IS NOT NULL)
+  WINDOW w AS (PARTITION BY topic_entry_id ORDER BY problem_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+def whole_context(spark, sf_dir):
+    """The context of a problem is the descriptions of its topic at positions up to ``earlier``."""
+    problems = table(spark, sf_dir, "problem_metadata").where("topic_entry_id is not null").select("problem_key", "topic_entry_id", "problem_description")
+    return allocate.context(problems, "topic_entry_id", ["problem_key"], "problem_description")
+
+
+@query()
+def generation_prompts(spark, sf_dir):
+    """Prompts of the next problems, each with all descriptions its topic has."""
+    topics = table(spark, sf_dir, "topics").select(F.col("topic_entry_id").alias("id"), "topic", "description", F.col("difficulty_level").alias("level"), "level_ord", "topic_ord")
+    seen = whole_context(spark, sf_dir).select(F.col("topic_entry_id").alias("id"), "position", F.col("problem_description").alias("description"))
+    return pipeline.generation_plan(topics, pipeline.Config(num_problems=TOTAL, level_split=LEVELS), previous=seen)
+
+
 @query("SELECT doc_id, CASE WHEN k <= total - (total - floor(total * 0.8)::bigint) THEN 'train' ELSE 'val' END AS part FROM (SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS k, count(*) OVER () AS total FROM documents)")
 def train_val_split(spark, sf_dir):
     return allocate.split(table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
