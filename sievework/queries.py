@@ -438,6 +438,12 @@ def attempt_times(spark, sf_dir):
     return rows.select("attempt_id", F.unix_timestamp(T.iso_time(F.col("attempt_ts"))).alias("seconds"))
 
 
+@query("SELECT attempt_id, epoch_us(try_cast(attempt_ts AS timestamptz)) AS micros FROM model_solutions")
+def attempt_times_all(spark, sf_dir):
+    """Every attempt's time in microseconds; null where its text cannot be read."""
+    return table(spark, sf_dir, "model_solutions").select("attempt_id", F.unix_micros(T.iso_time(F.col("attempt_ts"))).alias("micros"))
+
+
 # --- documents, code, calls ---------------------------------------------------------
 
 
