@@ -14,7 +14,7 @@ def words(n, *more):
 def linked(spark, texts, parts):
     """Pairs of classes that are linked, the i-th text in partition i % parts."""
     rows = spark.createDataFrame([("t", n, text) for n, text in enumerate(texts)], "table_name string, id bigint, text string")
-    coded, _ = neardup.numbered(neardup.word_sets(rows).select("table_name", F.col("id").alias("rep"), "words"))
+    coded = neardup.numbered(neardup.word_sets(rows).select("table_name", F.col("id").alias("rep"), "words"))
     return {(r.a, r.b) for r in neardup.similar_classes(coded.repartitionByRange(parts, "rep")).collect()}
 
 
@@ -29,7 +29,7 @@ def test_size_pairs_of_the_threshold(spark):
         assert linked(spark, [words(small), words(large)], 2) == {(0, 1)}, (small, large)
 
 
-def test_all_pairs_by_brute_force_with_split_words(spark, monkeypatch):
+def test_all_pairs_by_brute_force_with_split_signatures(spark, monkeypatch):
     monkeypatch.setattr(neardup, "CELL", 7)
     monkeypatch.setattr(neardup, "AT_ONCE", 300)
     draw = random.Random(5)
@@ -46,6 +46,37 @@ def test_all_pairs_by_brute_force_with_split_words(spark, monkeypatch):
     kept = sorted(sets.items(), key=lambda x: x[1])
     want = {(i, j) for s, i in kept for r, j in kept if i < j and len(s & r) * 10 >= len(s | r) * 7}
     rows = spark.createDataFrame([("t", n, texts[n]) for _, n in kept], "table_name string, id bigint, text string")
-    coded, _ = neardup.numbered(neardup.word_sets(rows).select("table_name", F.col("id").alias("rep"), "words"))
+    coded = neardup.numbered(neardup.word_sets(rows).select("table_name", F.col("id").alias("rep"), "words"))
     got = [(r.a, r.b) for r in neardup.similar_classes(coded).collect()]
     assert len(want) > 200 and set(got) == want and len(got) == len(want)
+    # signatures of more than CELL sets were split
+    sets_of = coded.select("t", "rep", F.transform("words", lambda w: F.xxhash64(w)).alias("words"))
+    plan, place = neardup.plan_of(neardup.word_counts(sets_of), len(kept), 200)
+    assert max(neardup.crowded(sets_of, plan, place, 1).values()) > 1
+
+
+def test_nothing_of_the_data_is_broadcast(spark):
+    records = neardup.default_records(spark, lambda name: spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet"))
+    links = neardup.similar_classes(neardup.numbered(neardup.word_sets(records).select("table_name", F.col("id").alias("rep"), "words")))
+    for plan in (links, neardup.found_pairs(records), neardup.groups(records)):
+        assert "Broadcast" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_recall_against_brute_force(spark):
+    """All pairs of a whole table at sf0.01 by a matrix product of word counts."""
+    import numpy as np
+
+    read = lambda name: spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet")
+    records = neardup.default_records(spark, read)
+    want = set()
+    for name in ("problem_metadata", "matched_pairs"):
+        rows = neardup.word_sets(records.where(F.col("table_name") == name)).collect()
+        words = {w: k for k, w in enumerate(sorted({w for r in rows for w in r.words}))}
+        held = np.zeros((len(rows), len(words)), np.float32)
+        for k, r in enumerate(rows):
+            held[k, [words[w] for w in r.words]] = 1
+        common = (held @ held.T).astype(int)
+        size = held.sum(axis=1).astype(int)
+        x, y = np.nonzero(np.triu(common * 10 >= 7 * (size[:, None] + size[None] - common), 1))
+        want |= {(name, min(rows[i].id, rows[j].id), max(rows[i].id, rows[j].id)) for i, j in zip(x, y)}
+    assert {tuple(r) for r in neardup.found_pairs(records).collect()} == want and len(want) > 50
