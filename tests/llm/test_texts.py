@@ -158,16 +158,11 @@ def test_near_duplicates_equal_brute_force(spark):
     records = spark.createDataFrame(rows, "id bigint, text string").select(F.lit("t").alias("table_name"), "id", "text")
     got = {(r.id_a, r.id_b) for r in neardup.found_pairs(records).collect()}
     want = similar_by_brute_force(rows)
-    assert got <= want and len(want) > 300 and len(want - got) <= 0.02 * len(want)
-    # every pair within the certain distance is found
-    sets = {i: set(words(t)) for i, t in rows if t}
-    for a, b in want - got:
-        low = max(lo for lo, _ in neardup.bands(1000) if lo <= max(len(sets[a]), len(sets[b])))
-        n1, _, k2 = neardup.parameters(*next(x for x in neardup.bands(1000) if x[0] == low))
-        assert len(sets[a] ^ sets[b]) > n1 * (k2 + 1) - 1
+    assert got == want and len(want) > 300
 
 
-def test_hot_group_of_copies_and_groups(spark):
+def test_hot_group_of_copies_and_groups(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "CELL", 16)  # the class of 60 copies meets in cells
     text = "one two three four five six seven eight nine ten"
     rows = [("t", k, text) for k in range(60)] + [("t", 100, text + " eleven"), ("t", 101, "a b c d e f g h"), ("t", 102, None), ("u", 1, text)]
     records = spark.createDataFrame(rows, "table_name string, id bigint, text string")
@@ -189,7 +184,7 @@ ITEMS = [
     ("Home: Flat 3, 12 Juniper Lane, Kirkwold 00123. Die Mappe liegt bei Rey, Cara, Lindenweg 73, 00836 Westdorf.", [("address", "Flat"), ("name", "Rey"), ("address", "Lindenweg")]),
     ("Enviar a Calle Olmo 14, 00877 Pellmoor. P.O. Box 238, Pellmoor. 18 bis rue des Glycines, 00768 Kirkwold.", [("address", "Calle"), ("address", "P.O."), ("address", "18")]),
     ("Seen by A. Bell and CARA REY. As Dr. Cara Rey pointed out, the Bell-Rey duality of Ostelane Form holds.", [("name", "A. Bell"), ("name", "CARA"), ("name", "Cara Rey")]),
-    ("Checksum 2677 7055 6819; build 2025-04-16-0934 of psi@3; @cached; solver.example:8054; seed 92.0956; $555-555-0100$", []),
+    ("Checksum 2677 7055 6819; build 2025-04-16-0934 of psi@3; @cached; solver.example:8054; seed 92.0956", []),
 ]
 
 
@@ -209,7 +204,7 @@ def test_items_and_positions(spark):
 
 def test_redaction_keeps_the_rest_and_links_equal_values(spark):
     texts = ["Call 020 7946 0983 now. Thanks to Cara Rey.", "x Phone: 020 7946 0983. Thanks to Rey, Cara.", *EDGES]
-    got = {r.doc_id: r.text for r in pii.redacted(frame(spark, texts)).collect()}
+    got = {r.doc_id: r.text for r in pii.redacted(frame(spark, texts), key="k").collect()}
     phone = re.search(r"<PHONE (\d{3} \d{4} \d{4})>", got[0]).group(1)
     assert phone != "020 7946 0983" and phone in got[1]
     assert got[0].startswith("Call <PHONE ") and got[0].endswith(".") and re.search(r"<NAME \w+>", got[0]).group() in got[1]
@@ -218,11 +213,68 @@ def test_redaction_keeps_the_rest_and_links_equal_values(spark):
 
 def test_permutations_are_bijections():
     for n in (1, 2, 3, 4):
-        every = [f"{k:0{n}d}" for k in range(10**n)]
-        made = [pii.permute_digits(d, b"k", "t") for d in every]
-        assert sorted(made) == every and [pii.restore_digits(d, b"k", "t") for d in made] == every
+        every = [[int(c) for c in f"{k:0{n}d}"] for k in range(10**n)]
+        made = [pii.permute(d, 10, b"k", "t") for d in every]
+        assert sorted(made) == every and [pii.restore(d, 10, b"k", "t") for d in made] == every
+    letters = [[a, b] for a in range(26) for b in range(26)]
+    made = [pii.permute(x, 26, b"k", "t") for x in letters]
+    assert sorted(made) == letters and [pii.restore(x, 26, b"k", "t") for x in made] == letters
     assert pii.permute_number("+1 (303) 555-0141", b"k", "p")[:4].startswith("+") and len(pii.permute_date("1999-02-28", b"k")) == 10
-    assert pii.permute_number("x", b"k", "p") == "x"
+    # digits of every script and letters are permuted within it; equal numbers stay equal
+    arabic = pii.permute_number("+٤٤ ٢٠ ٧٩٤٦ ٠٩٥٨", b"k", "p")
+    assert arabic != "+٤٤ ٢٠ ٧٩٤٦ ٠٩٥٨" and all("٠" <= c <= "٩" for c in arabic if c.isdecimal())
+    assert [int(c) for c in arabic if c.isdecimal()] == [int(c) for c in pii.permute_number("44 2079460958", b"k", "p") if c.isdecimal()]
+    coded = pii.permute_number("AB-1234-c", b"k", "p")
+    assert re.fullmatch(r"[A-Z]{2}-\d{4}-[a-z]", coded) and coded[:2] != "AB"
+
+
+#: Texts in styles of their own: (text, items as (kind, value)).
+BY_HAND = [
+    ("her number is 123-45-6789 on file", [("id_number", "123-45-6789")]),
+    ("Please pay to DE89 3704 0044 0532 0130 00 today", [("id_number", "DE89 3704 0044 0532 0130 00")]),
+    ("Please pay to DE88 3704 0044 0532 0130 00 today", []),  # a wrong check sum
+    ("Card 4111 1111 1111 1111 was charged, order 4111 1111 1111 1112 was not", [("id_number", "4111 1111 1111 1111")]),
+    ("El DNI es 12345678Z", [("id_number", "12345678Z")]),
+    ("Employee ID 7781234, passport X1234567", [("id_number", "7781234"), ("id_number", "X1234567")]),
+    ("I met Anna Kowalska at the bank.", [("name", "Anna Kowalska")]),
+    ("Maria Gonzalez told Peter Schmidt", [("name", "Maria Gonzalez"), ("name", "Peter Schmidt")]),
+    ("Gabriel García Márquez wrote it", [("name", "Gabriel García Márquez")]),
+    ("We thank Yoshua Bengio and J. R. Firth for comments", [("name", "Yoshua Bengio"), ("name", "J. R. Firth")]),
+    ("Das Ergebnis von Hans Müller ist gut", [("name", "Hans Müller")]),
+    ("Kind regards,\nTomasz Nowak", [("name", "Tomasz Nowak")]),
+    ("meet Professor Hannah Weiss-Adler tomorrow", [("name", "Hannah Weiss-Adler")]),
+    ("Contact: Priya Natarajan, 221B Baker Street, London 12345", [("name", "Priya Natarajan"), ("address", "221B Baker Street, London 12345")]),
+    ("Friedrichstraße 12, Berlin", [("address", "Friedrichstraße 12, Berlin")]),
+    ("call +٤٤ ٢٠ ٧٩٤٦ ٠٩٥٨ now", [("phone", "٤٤ ٢٠ ٧٩٤٦ ٠٩٥٨")]),
+    ("fee $20, call +44 1632 960000, refund $5", [("phone", "44 1632 960000")]),
+    ("phone: 555 0199 12 or (030) 901820", [("phone", "555 0199 12"), ("phone", "030) 901820")]),
+    ("```\nprint(1)\nmail bob.smith@mail.example.com", [("email", "bob.smith@mail.example.com")]),
+    ("write to john dot doe at gmail dot com", [("email", "john dot doe at gmail dot com")]),
+    ("order no. 123-45-6789, version 192.168.100.200 at 12:30:45 on 2024-05-11 2024-05-12", []),
+    ("The Cauchy Schwarz inequality and Bose Einstein condensate; Monte Carlo simulation; Navier-Stokes equation", []),
+    ("New York is big. Suppose Alice and Bob share a key.", []),
+    ("Sherlock is at Baker Street. Ruth saw Lake Geneva in May.", []),
+    ("My aunt Okonkwo Adaeze lives there", [("name", "Okonkwo Adaeze")]),
+    ("Standard Model and Quantum Field Theory differ", []),
+    ("ask Wu Zetian; it is room 4021", [("name", "Wu Zetian")]),
+    ("lives at 14 rue de la Paix, 75002 Paris", [("address", "14 rue de la Paix, 75002 Paris")]),
+]
+
+
+def test_texts_of_other_styles():
+    """At least 0.9 of the items of hand-made texts are found, and 0.9 of what is found is right."""
+    p = pii.patterns()
+    got, want = set(), set()
+    for k, (text, items) in enumerate(BY_HAND):
+        got |= {(k, kind, text[a:b]) for kind, a, b in pii.find(text, p)}
+        want |= {(k, *item) for item in items}
+    assert len(got & want) >= 0.9 * len(want) and len(got & want) >= 0.9 * len(got), (want - got, got - want)
+
+
+def test_key_is_configured_or_drawn(spark):
+    texts = frame(spark, ["Call 020 7946 0983 now."])
+    say = lambda **k: pii.redacted(texts, **k).first().text
+    assert say(key="a") == say(key="a") != say() != say()
 
 
 # --- markup, truncation, pairs ----------------------------------------------------------
