@@ -6,104 +6,137 @@ import zlib
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DIMENSIONS_LOG2 = 17
 #: Rows of a table that a classifier may be fitted on (documented bound; scoring covers every row).
 SAMPLE_ROWS = 6000
+#: Share of true cases that a threshold is set for: rarer than in the labelled rows, where half are made.
+PRIOR = 0.05
+#: Names whose place is remembered by a task.
+REMEMBERED = 200_000
 
 Features = dict[str, float]
 
 
-def hashed(features: Features) -> tuple[np.ndarray, np.ndarray]:
-    """Indices and values; a feature's place is the CRC of its name, so it is the same everywhere."""
-    mask = (1 << DIMENSIONS_LOG2) - 1
-    at = np.fromiter((zlib.crc32(name.encode("utf-8", "surrogatepass")) & mask for name in features), np.int64, len(features))
-    return at, np.fromiter(features.values(), np.float64, len(features))
+class Places(dict):
+    """name -> place in the hashed space: the CRC of the name, so it is the same everywhere."""
+
+    def __missing__(self, name: str) -> int:
+        at = zlib.crc32(name.encode("utf-8", "surrogatepass")) & ((1 << DIMENSIONS_LOG2) - 1)
+        if len(self) < REMEMBERED:
+            self[name] = at
+        return at
+
+
+@dataclass
+class Sparse:
+    """Rows of hashed features, as (row, place, value), rows in order."""
+
+    row: np.ndarray
+    place: np.ndarray
+    value: np.ndarray
+    size: int
+
+    @staticmethod
+    def of(rows: list[Features], places: Places) -> Sparse:
+        counts = np.fromiter(map(len, rows), np.int64, len(rows))
+        total = int(counts.sum())
+        place = np.fromiter((places[name] for row in rows for name in row), np.int64, total)
+        value = np.fromiter((v for row in rows for v in row.values()), np.float64, total)
+        return Sparse(np.repeat(np.arange(len(rows)), counts), place, value, len(rows))
+
+    def joined(self, other: Sparse) -> Sparse:
+        """The features of both for each row."""
+        row = np.concatenate([self.row, other.row])
+        order = np.argsort(row, kind="stable")
+        return Sparse(row[order], np.concatenate([self.place, other.place])[order], np.concatenate([self.value, other.value])[order], self.size)
+
+    def take(self, rows: np.ndarray) -> Sparse:
+        """Some rows, in the order given."""
+        start = np.searchsorted(self.row, rows)
+        counts = np.searchsorted(self.row, rows, "right") - start
+        at = np.repeat(start - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
+        return Sparse(np.repeat(np.arange(len(rows)), counts), self.place[at], self.value[at], len(rows))
 
 
 @dataclass
 class Linear:
-    """One weight column and threshold per label."""
+    """Weights, bias and threshold of one label."""
 
-    labels: tuple[str, ...]
     weights: np.ndarray
-    bias: np.ndarray
-    thresholds: np.ndarray
+    bias: float
+    threshold: float
 
     def parts(self) -> tuple:
         """What makes the model, without its class: broadcasts are unpickled where this package need not be installed."""
-        return self.labels, self.weights, self.bias, self.thresholds
+        return self.weights, self.bias, self.threshold
 
-    def scores(self, rows: list[Features]) -> np.ndarray:
-        """Probabilities, rows x labels."""
-        out = np.empty((len(rows), len(self.labels)))
-        for k, row in enumerate(rows):
-            at, value = hashed(row)
-            out[k] = value @ self.weights[at] + self.bias
-        return 1 / (1 + np.exp(-np.clip(out, -60, 60)))
+    def scores(self, rows: Sparse) -> np.ndarray:
+        """A probability per row."""
+        z = np.bincount(rows.row, weights=self.weights[rows.place] * rows.value, minlength=rows.size) + self.bias
+        return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def fit(rows: list[Features], truth: np.ndarray, labels: tuple[str, ...], epochs: int = 8, rate: float = 0.25, ridge: float = 1e-5, seed: int = 5, held_out: float = 0.2) -> Linear:
-    """Fits on four fifths of the rows and calibrates each label's threshold on the rest.
+def fit(rows: Sparse, truth: np.ndarray, epochs: int = 8, rate: float = 0.25, ridge: float = 1e-5, seed: int = 5, held_out: float = 0.2, prior: float = PRIOR) -> Linear:
+    """Fits on four fifths of the rows and calibrates the threshold on the rest.
 
-    The threshold is the one of greatest F1 on the held-out rows, the middle of the
-    best range where several are as good. A label without positive rows gets 1.0 (never).
+    The threshold is the one of greatest F1 on the held-out rows weighed as if ``prior`` of
+    them were true, the middle of the range within a hundredth of the best. Without true
+    rows it is above 1 (never).
     """
     random = np.random.default_rng(seed)
-    packed = [hashed(row) for row in rows]
-    order = random.permutation(len(rows))
-    hold = order[: int(len(rows) * held_out)]
-    train = order[int(len(rows) * held_out) :]
-    weights = np.zeros((1 << DIMENSIONS_LOG2, len(labels)))
-    bias = np.zeros(len(labels))
-    power, bias_power = np.full_like(weights, 1e-2), np.full_like(bias, 1e-2)
+    order = random.permutation(rows.size)
+    hold, train = order[: int(rows.size * held_out)], order[int(rows.size * held_out) :]
+    weights, power = np.zeros(1 << DIMENSIONS_LOG2), np.full(1 << DIMENSIONS_LOG2, 1e-2)
+    bias, bias_power = 0.0, 1e-2
     for _ in range(epochs):
         random.shuffle(train)
-        for start in range(0, len(train), 32):
-            some = train[start : start + 32]
-            at = np.concatenate([packed[k][0] for k in some])
-            value = np.concatenate([packed[k][1] for k in some])
-            row = np.repeat(np.arange(len(some)), [len(packed[k][0]) for k in some])
-            z = np.zeros((len(some), len(labels)))
-            np.add.at(z, row, weights[at] * value[:, None])
-            wrong = 1 / (1 + np.exp(-np.clip(z + bias, -60, 60))) - truth[some]
+        now, want = rows.take(train), truth[train]
+        ends = np.searchsorted(now.row, np.arange(0, len(train) + 32, 32))
+        for k in range(len(ends) - 1):
+            part = slice(ends[k], ends[k + 1])
+            at, value, row = now.place[part], now.value[part], now.row[part] - 32 * k
+            said = want[32 * k : 32 * (k + 1)]
+            z = np.bincount(row, weights=weights[at] * value, minlength=len(said)) + bias
+            wrong = 1 / (1 + np.exp(-np.clip(z, -60, 60))) - said
             places, inverse = np.unique(at, return_inverse=True)
-            step = np.zeros((len(places), len(labels)))
-            np.add.at(step, inverse, wrong[row] * value[:, None])
-            step += ridge * weights[places]
+            step = np.bincount(inverse, weights=wrong[row] * value, minlength=len(places)) + ridge * weights[places]
             power[places] += step**2
             weights[places] -= rate * step / np.sqrt(power[places])
-            down = wrong.sum(axis=0)
+            down = wrong.sum()
             bias_power += down**2
             bias -= rate * down / np.sqrt(bias_power)
-    model = Linear(labels, weights.astype(np.float32), bias, np.ones(len(labels)))
-    probability = model.scores([rows[k] for k in hold]) if len(hold) else np.zeros((0, len(labels)))
-    for k in range(len(labels)):
-        model.thresholds[k] = best_threshold(probability[:, k], truth[hold, k])
+    model = Linear(weights.astype(np.float32), float(bias), 2.0)
+    if len(hold):
+        model.threshold = best_threshold(model.scores(rows.take(hold)), truth[hold] > 0, prior)
     return model
 
 
-def best_threshold(probability: np.ndarray, truth: np.ndarray) -> float:
-    if not (truth > 0).any():
-        return 1.0
+def best_threshold(probability: np.ndarray, truth: np.ndarray, prior: float) -> float:
+    if not truth.any():
+        return 2.0
+    weight = np.where(truth, prior / truth.mean(), (1 - prior) / max(1e-9, 1 - truth.mean()))
     cuts = np.linspace(0.02, 0.98, 49)
-    f1 = []
-    for cut in cuts:
-        said = probability >= cut
-        both = (said & (truth > 0)).sum()
-        f1.append(2 * both / max(1, said.sum() + (truth > 0).sum()))
-    best = np.flatnonzero(np.array(f1) >= max(f1) - 1e-9)
+    said = probability[None] >= cuts[:, None]
+    both = (said * (weight * truth)).sum(axis=1)
+    f1 = 2 * both / np.maximum(1e-9, (said * weight).sum(axis=1) + (weight * truth).sum())
+    best = np.flatnonzero(f1 >= f1.max() - 0.01)
     return float(cuts[best[len(best) // 2]])
 
 
-def sample(df: DataFrame, key: str, rows: int = SAMPLE_ROWS, salt: int = 11) -> list:
+def spot(key: str, salt: int = 11) -> Column:
+    """A place in [0, 2^30) by the hash of the key."""
+    return F.pmod(F.xxhash64(F.lit(salt), F.col(key)), F.lit(1 << 30))
+
+
+def reach(df: DataFrame, rows: int) -> int:
+    """The least place that is not in a sample of about ``rows`` of the table's rows."""
+    return int(min(1.0, 1.2 * rows / max(1, df.count())) * (1 << 30))
+
+
+def sample(df: DataFrame, key: str, rows: int = SAMPLE_ROWS) -> list:
     """At most ``rows`` rows by the hash of their key: the same rows on every run."""
-    total = df.count()
-    if not total:
-        return []
-    share = min(1.0, 1.2 * rows / total)
-    spot = F.pmod(F.xxhash64(F.lit(salt), F.col(key)), F.lit(1 << 30))
-    some = df.withColumn("_spot", spot).where(F.col("_spot") < F.lit(int(share * (1 << 30)))).collect()
+    some = df.withColumn("_spot", spot(key)).where(F.col("_spot") < F.lit(reach(df, rows))).collect()
     return sorted(some, key=lambda r: (r["_spot"], r[key]))[:rows]

@@ -2,181 +2,253 @@
 
 Intact values of the table are cut artificially to make positives; a hashed logistic
 regression on closing characters, punctuation, the last line's form, open delimiters and
-the distance to the model's limit is fitted to tell them from the values as they are, a
-second time without the values that the first fit takes for cut. Every record is scored.
+the distance to the source's limit is fitted to tell them from the values as they are, later
+rounds without the values that the round before takes for cut. Every record is scored.
+One scan learns (lengths, word counts, a bounded sample), one scores.
 """
 
 from __future__ import annotations
 
+import html
 import random
+import re
 import zlib
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import regex
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievework.llm.linear import Features, Linear, fit, sample
+from sievework.llm.linear import Features, Linear, Places, Sparse, fit, reach, spot
+from sievework.session import cut
 
 #: Buckets of each corpus count: a fixed size, whatever the corpus.
 WORD_BUCKETS = 1 << 17
-#: A length is a limit of a source if so many texts have just it and none is longer.
+#: A length is a limit of a source if at least so many texts have just it, and no more are longer.
 LIMIT_TEXTS = 4
-#: Signs that follow a cut; used to make positives, never as a rule.
-SIGNS = ("", "", "", "", "", "…", "...", " …", " ...", "\ufffd", " [cut]", " [truncated]", " [output truncated]", " (cont", " (continued", "--", " <eos>")
 SHORTEST_CUT = 12
-CODE = regex.compile(r"```.*?```|\\begin\{python\}.*?\\end\{python\}|<(pre|syntaxhighlight|code)\b[^>]*>.*?</\1>", regex.DOTALL | regex.IGNORECASE)
-CODE_OPENS = regex.compile(r"```|\\begin\{python\}|<(?:pre|syntaxhighlight)\b", regex.IGNORECASE)
-FORMULA = regex.compile(r"\$\$.*?\$\$|\\\[.*?\\\]|\\begin\{(equation|align|gather)\*?\}.*?\\end\{\1\*?\}|<math>.*?</math>", regex.DOTALL)
-FORMULA_OPENS = regex.compile(r"\$\$|\\\[|\\begin\{(?:equation|align|gather)|<math>")
+LETTERS = r"[^\W\d_]"
+CODE = re.compile(r"```.*?```|\\begin\{python\}.*?\\end\{python\}|<(pre|syntaxhighlight|code)\b[^>]*>.*?</\1>", re.DOTALL | re.IGNORECASE)
+CODE_OPENS = re.compile(r"```|\\begin\{python\}|<(?:pre|syntaxhighlight)\b", re.IGNORECASE)
+FORMULA = re.compile(r"\$\$.*?\$\$|\\\[.*?\\\]|\\begin\{(equation|align|gather)\*?\}.*?\\end\{\1\*?\}|<math>.*?</math>", re.DOTALL)
+FORMULA_OPENS = re.compile(r"\$\$|\\\[|\\begin\{(?:equation|align|gather)|<math>")
+INLINE = re.compile(r"\$[^$\n]*\$")
+BARE = (
+    re.compile(r"<!--.*?-->|<ref>.*?</ref>|\{\{citation[^{}]*\}\}|\[https?://[^\]\s]+ [^\]]*\]|!\[[^\]]*\]\([^)]*\)|</?\w+(?:\s[^<>]*)?/?>"),
+    re.compile(r"\\(?:noindent|newline)\s*|\\(?:begin|end)\{\w+\}|\\[hv]space\{[^}]*\}|\\footnote\{[^{}]*\}|~?\\(?:cite|ref|label)\{[^{}]*\}|\{\\\w+\s*"),
+)
+LABEL = re.compile(rf"({LETTERS}+(?: {LETTERS}+)?)\s?[:：]")
+CLOSED = re.compile(r"[.!?。！？∎)\]:][\"'”’»*_]*$")
+NOTE = re.compile(r"(?:[\[(<][^\])>]{0,24}[\])>]?|--+)$")
+END_WORD = re.compile(rf"(?:{LETTERS}|[\u0300-\u036f])+$")
+WORDS = re.compile(rf"(?:{LETTERS}|[\u0300-\u036f'’-])+|\d[\d.,]*|[F$]")
+NUMBER = re.compile(r"\d+(?:[.,]\d+)*")
 #: Rows of the counts: words anywhere, last words of labelled last lines, whole last lines.
 ANYWHERE, LABELLED, LINES = 0, 1, 2
 
 
 def shape(text: str) -> str:
-    """The form of a few characters: letters a/A, digits 0, blanks and marks as they are."""
-    out = regex.sub(r"\p{Ll}+", "a", regex.sub(r"\p{Lu}", "A", text))
-    return regex.sub(r"\d+", "0", regex.sub(r"[\p{Lo}\p{Lm}]+", "字", out))
+    """The form of a few characters: letters a/A/字, digits 0, blanks and marks as they are, runs of a and 0 as one."""
+    out = ""
+    for c in text:
+        c = "a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "字" if c.isalpha() else c
+        if not (out and c == out[-1] and c in "a0字"):
+            out += c
+    return out
 
 
-def open_parts(text: str) -> tuple[bool, bool, str]:
+def open_parts(text: str, inline: bool = True) -> tuple[bool, bool, str]:
     """(inside a formula, inside fenced code, text with formulas as F and code as C)."""
-    plain = CODE.sub(" C ", text)
-    opened = CODE_OPENS.search(plain)
-    in_code = opened is not None
-    if opened:
-        plain = plain[: opened.start()] + " O"
-    plain = FORMULA.sub("F", plain)
-    in_formula = FORMULA_OPENS.search(plain) is not None
-    plain = regex.sub(r"\$[^$\n]*\$", "F", plain)
+    plain, in_code, in_formula = text, False, False
+    if "```" in plain or "<" in plain or "\\begin{python}" in plain:
+        plain = CODE.sub(" C ", plain)
+        opened = CODE_OPENS.search(plain)
+        if opened:
+            in_code = True
+            plain = plain[: opened.start()] + " O"
+    if "$$" in plain or "\\[" in plain or "\\begin{" in plain or "<math>" in plain:
+        plain = FORMULA.sub("F", plain)
+        in_formula = FORMULA_OPENS.search(plain) is not None
     last = plain.rsplit("\n", 1)[-1]
-    return in_formula or last.count("$") % 2 == 1, in_code, plain
+    in_formula = in_formula or last.count("$") % 2 == 1
+    return in_formula, in_code, INLINE.sub("F", plain) if inline and "$" in plain else plain
 
 
 def bare(line: str) -> str:
     """A line without the markup that may stand around it: tags, notes, emphasis, braces."""
-    line = regex.sub(r"<!--.*?-->|<ref>.*?</ref>|\{\{citation[^{}]*\}\}|\[https?://[^\]\s]+ [^\]]*\]|!\[[^\]]*\]\([^)]*\)|</?\w+(?:\s[^<>]*)?/?>", "", line)
-    line = regex.sub(r"\\(?:noindent|newline)\s*|\\(?:begin|end)\{\w+\}|\\[hv]space\{[^}]*\}|\\footnote\{[^{}]*\}|~?\\(?:cite|ref|label)\{[^{}]*\}|\{\\\w+\s*", "", line)
-    return regex.sub(r"^[\s*_'>#|]+|[\s*_'|}\\]+$", "", line)
-
-
-LABEL = regex.compile(r"(\p{L}+(?: \p{L}+)?)\s?[:：]")
+    if "<" in line or "[" in line or "{" in line or "\\" in line:
+        for pattern in BARE:
+            line = pattern.sub("", line)
+    if "&" in line:
+        line = html.unescape(line)
+    return line.lstrip(" \t\r*_'>#|").rstrip(" \t\r*_'|}\\")
 
 
 def last_line(plain: str) -> tuple[str, str, str | None]:
-    """(last line as it is, without markup, its label if it has one)."""
-    lines = [x for x in plain.split("\n") if bare(x)] or [plain]
-    last = bare(lines[-1])
+    """(last line with content as it is, without markup, its label if it has one); formulas as F."""
+    raw = last = ""
+    end = len(plain)
+    while end >= 0 and not last:
+        start = plain.rfind("\n", 0, end) + 1
+        raw = plain[start:end]
+        last = bare(INLINE.sub("F", raw) if "$" in raw else raw)
+        end = start - 1
     label = LABEL.match(last)
-    return lines[-1], last, label.group(1).lower() if label else None
+    return raw, last, label.group(1).lower() if label else None
 
 
 def line_key(last: str) -> str:
-    return regex.sub(r"\d+(?:[.,]\d+)*", "0", last.lower())
+    return NUMBER.sub("0", last.lower())
 
 
 def features(text: str, limits: tuple[int | None, int | None], counts: np.ndarray) -> Features:
     """Features of one non-empty text; ``limits`` are its source's in characters and in words."""
-    out: Features = {}
     stripped = text.rstrip()
-    in_formula, in_code, plain = open_parts(stripped)
+    in_formula, in_code, plain = open_parts(stripped, False)
     raw, last, label = last_line(plain)
-    tail = last[-8:]
-    out["formula"] = float(in_formula)
-    out["code"] = float(in_code)
-    out["end1=" + stripped[-1:]] = 1.0
-    out["bare1=" + last[-1:]] = 1.0
-    out["bare4=" + shape(tail)[-4:]] = 1.0
-    closed = bool(regex.search(r"[.!?。！？∎)\]:][\"'”’»*_]*$", last)) and not last.endswith(("...", "…"))
-    out["closed"] = float(closed)
-    out["ends_blank"] = float(text[-1:].isspace())
-    out["dots"] = float(bool(regex.search(r"(?:\.\.\.|…|\ufffd)$", last)))
-    note = regex.search(r"(?:[\[(<][^\])>]{0,24}[\])>]?|--+)$", last)
-    out["note=" + (regex.sub(r"\d+", "0", note.group().lower()) if note else "")] = 1.0
+    closed = int(CLOSED.search(last) is not None and not last.endswith(("...", "…")))
+    note = NOTE.search(last)
     kind = "label" if label else "prose"
-    out[f"label={label}"] = 1.0
-    ends = "F" if last.endswith("F") else "C" if last.endswith("C") else "item" if regex.match(r"\s*-\s", raw) else "text"
-    out[f"{kind}/{closed:d}/{ends}"] = 1.0
+    ends = "F" if last.endswith("F") else "C" if last.endswith("C") else "item" if raw.lstrip().startswith("- ") else "text"
+    out: Features = {
+        "end1=" + stripped[-1:]: 1.0,
+        "bare1=" + last[-1:]: 1.0,
+        "bare4=" + shape(last[-8:])[-4:]: 1.0,
+        "note=" + (re.sub(r"\d+", "0", note.group().lower()) if note else ""): 1.0,
+        f"label={label}": 1.0,
+        f"{kind}/{closed}/{ends}": 1.0,
+    }
+    for name, holds in (("formula", in_formula), ("code", in_code), ("closed", closed), ("ends_blank", text[-1:].isspace()), ("dots", last.endswith(("...", "…", "\ufffd"))), ("note", note)):
+        if holds:
+            out[name] = 1.0
     body = last[len(label) + 1 :].strip() if label else last
-    words = regex.findall(r"[\p{L}\p{M}'’-]+|\d[\d.,]*|[F$]", body)
-    out["few_words"] = float(len(words) <= 1)
+    words = WORDS.findall(body)
+    if len(words) <= 1:
+        out["few_words"] = 1.0
     for k, word in enumerate(reversed(words[-2:])):
-        out[f"{kind}{closed:d}w{k}=" + (shape(word) if word[:1].isdigit() else word.lower())] = 1.0
-    end_word = regex.search(r"[\p{L}\p{M}]+$", last)
+        out[f"{kind}{closed}w{k}=" + (shape(word) if word[:1].isdigit() else word.lower())] = 1.0
+    end_word = END_WORD.search(last[-80:])
     if end_word:
         word = end_word.group().lower()
         out[f"{kind}/seen=" + grade(counts[ANYWHERE, bucket(word)])] = 1.0
-        out["short_last"] = float(len(word) <= 2)
+        if len(word) <= 2:
+            out["short_last"] = 1.0
         if label:
             out["label/ended=" + grade(counts[LABELLED, bucket(label + " " + word)])] = 1.0
-    out[f"same_line={closed:d}" + grade(counts[LINES, bucket(line_key(last))] - 1)] = 1.0
-    for name, limit, size in (("chars", limits[0], len(text)), ("words", limits[1], len(text.split()))):
-        if limit:
-            out[f"at_{name}_limit"] = 2.0 * (size >= limit)
-            out[f"at_limit/{kind}/{closed:d}/{ends}"] = 2.0 * (size >= limit)
+    out[f"same_line={closed}" + grade(counts[LINES, bucket(line_key(last))] - 1)] = 1.0
+    if (limits[0] and len(text) >= limits[0]) or (limits[1] and len(text.split()) >= limits[1]):
+        out["at_limit"] = 2.0
+        out[f"at_limit/{kind}/{closed}/{ends}"] = 2.0
     return out
 
 
 def grade(n: float) -> str:
     """0, 1, 2, 4, 8, ... as small steps."""
-    return str(int(min(8, np.log2(max(n, 0) + 1))))
+    return str(min(8, int(max(n, 0) + 1).bit_length() - 1))
 
 
 def bucket(word: str) -> int:
     return zlib.crc32(word.encode("utf-8", "surrogatepass")) & (WORD_BUCKETS - 1)
 
 
-def counts_of(texts: list[str | None], total: np.ndarray) -> None:
-    """Adds a batch of texts to ``total`` (3 x WORD_BUCKETS)."""
-    many: dict[str, int] = {}
-    for text in texts:
-        if not text or not text.strip():
-            continue
-        for word in regex.findall(r"[\p{L}\p{M}]+", text.lower())[:-1]:
-            many[word] = many.get(word, 0) + 1
-        _, last, label = last_line(open_parts(text.rstrip())[2])
+def count_batch(texts: pa.Array, total: np.ndarray) -> None:
+    """Adds a batch of texts to ``total`` (3 x WORD_BUCKETS). A text's last word is not counted: it may be cut."""
+    strings = [t for t in texts.to_pylist() if t and t.strip()]
+    if not strings:
+        return
+    body = pa.array([t.rstrip()[: -len(m.group())] if (m := END_WORD.search(t.rstrip()[-80:])) else t for t in strings], pa.large_string())
+    split = pc.split_pattern_regex(pc.utf8_lower(body), r"[^\p{L}\p{M}]+")
+    for pair in pc.value_counts(pc.list_flatten(split)).to_pylist():
+        if pair["values"]:
+            total[ANYWHERE, bucket(pair["values"])] += pair["counts"]
+    for text in strings:
+        _, last, label = last_line(open_parts(text.rstrip(), False)[2])
         total[LINES, bucket(line_key(last))] += 1
-        end = regex.search(r"[\p{L}\p{M}]+$", last)
+        end = END_WORD.search(last[-80:])
         if label and end:
             total[LABELLED, bucket(label + " " + end.group().lower())] += 1
-    for word, n in many.items():
-        total[ANYWHERE, bucket(word)] += n
 
 
-def corpus_counts(texts: DataFrame) -> np.ndarray:
-    """The counts over the whole table, made where the rows are; a partition sends 3 x WORD_BUCKETS numbers at most."""
+@dataclass
+class Learned:
+    """What one scan of a table gives: a bounded sample, limits by source, word counts of fixed size."""
 
-    def run(frames):
-        total = np.zeros((3, WORD_BUCKETS), np.int64)
-        for frame in frames:
-            counts_of(frame["text"].tolist(), total)
+    rows: list[tuple[str, str, str | None]]
+    limits: dict[str, tuple[int | None, int | None]]
+    counts: np.ndarray
+
+
+COUNT, LENGTH, SAMPLED = 0, 1, 2
+
+
+def learn(texts: DataFrame, sample_rows: int) -> Learned:
+    """From (id, source, text, more), rows with text only: (source, text, more) of at most ``sample_rows`` rows, limits and counts of all.
+
+    A task sends 3 x WORD_BUCKETS numbers at most, its (source, length) counts and its part of the sample.
+    """
+    least = reach(texts, sample_rows)
+
+    def run(batches):
+        total, lengths = np.zeros((3, WORD_BUCKETS), np.int64), {}
+        for batch in batches:
+            count_batch(batch.column("text"), total)
+            kept = []
+            for k, (source, text, place) in enumerate(zip(batch.column("source").to_pylist(), batch.column("text").to_pylist(), batch.column("spot").to_pylist())):
+                for unit, size in ((0, len(text)), (1, len(text.split()))):
+                    lengths[source, unit, size] = lengths.get((source, unit, size), 0) + 1
+                if place < least:
+                    kept.append(k)
+            if kept:
+                some = batch.take(pa.array(kept))
+                yield rows(SAMPLED, some.column("spot"), some.column("source"), some.column("id"), pa.array([1] * len(kept)), some.column("text"), some.column("more"))
         flat = total.reshape(-1)
         there = np.flatnonzero(flat)
-        yield pd.DataFrame({"bucket": there.astype(np.int32), "n": flat[there]})
+        none = pa.nulls(len(there), pa.string())
+        yield rows(COUNT, pa.array(there), none, pa.nulls(len(there), pa.int64()), pa.array(flat[there]), none, none)
+        none = pa.nulls(len(lengths), pa.string())
+        yield rows(LENGTH, pa.array([k[2] for k in lengths], pa.int64()), pa.array([k[0] for k in lengths], pa.string()), pa.array([k[1] for k in lengths], pa.int64()), pa.array(list(lengths.values()), pa.int64()), none, none)
 
-    counted = texts.mapInPandas(run, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(3 * WORD_BUCKETS, np.int64)
-    out[counted["bucket"].to_numpy(int)] = counted["n"].to_numpy()
-    return out.reshape(3, WORD_BUCKETS)
+    def rows(kind, key, source, unit, n, text, more):
+        return pa.RecordBatch.from_arrays([pa.array([kind] * len(key), pa.int8()), key.cast(pa.int64()), source.cast(pa.string()), unit.cast(pa.int64()), n.cast(pa.int64()), text.cast(pa.string()), more.cast(pa.string())], names=["kind", "key", "source", "unit", "n", "text", "more"])
 
+    scanned = texts.withColumn("spot", spot("id")).mapInArrow(run, "kind tinyint, key bigint, source string, unit bigint, n bigint, text string, more string")
+    held = cut(scanned.groupBy("kind", "key", "source", "unit", "text", "more").agg(F.sum("n").alias("n")))
+    sums = held.where(F.col("kind") == COUNT).select("key", "n").toArrow()
+    counts = np.zeros(3 * WORD_BUCKETS, np.int64)
+    counts[sums.column("key").to_numpy()] = sums.column("n").to_numpy()
+    chosen = sorted(((r["key"], r["unit"], r["source"], r["text"], r["more"]) for r in held.where(F.col("kind") == SAMPLED).collect()), key=lambda r: r[:2])
+    return Learned([r[2:] for r in chosen[:sample_rows]], limits_of(held.where(F.col("kind") == LENGTH)), counts.reshape(3, WORD_BUCKETS))
 
-def limits_of(texts: DataFrame) -> dict[str, tuple[int | None, int | None]]:
-    """source -> (limit in characters, limit in words), counted over all texts.
 
-    The greatest length is a limit when at least LIMIT_TEXTS texts have just it: lengths
-    that no limit shapes are spread out. Counts by (source, length) come before anything else.
+def limits_of(lengths: DataFrame) -> dict[str, tuple[int | None, int | None]]:
+    """source -> (limit in characters, limit in words), from counts of all lengths; a row per source and unit comes to the driver.
+
+    A limit is the greatest length that LIMIT_TEXTS texts have and no more texts exceed:
+    lengths that no limit shapes are spread out, and single longer texts hide none.
     """
-    sized = texts.where("text is not null").select("source", F.length("text").alias("chars"), F.size(F.regexp_extract_all("text", F.lit(r"(\S+)"), F.lit(1))).alias("words"))
+    longer = F.coalesce(F.sum("n").over(Window.partitionBy("source", "unit").orderBy(F.desc("key")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    good = lengths.withColumn("longer", longer).where((F.col("n") >= LIMIT_TEXTS) & (F.col("longer") <= F.col("n")))
     out: dict[str, list[int | None]] = {}
-    for k, unit in enumerate(("chars", "words")):
-        by = sized.groupBy("source", unit).agg(F.count(F.lit(1)).alias("n"))
-        top = by.groupBy("source").agg(F.max_by(F.struct(unit, "n"), unit).alias("t"))
-        for row in top.collect():  # a row per source
-            out.setdefault(row["source"], [None, None])[k] = row["t"][unit] if row["t"]["n"] >= LIMIT_TEXTS else None
+    for row in good.groupBy("source", "unit").agg(F.max("key").alias("size")).collect():
+        out.setdefault(row["source"], [None, None])[row["unit"]] = row["size"]
     return {s: (a, b) for s, (a, b) in out.items()}
 
 
+def cut_sign(draw: random.Random) -> str:
+    """What may follow a cut: nothing, dots, a broken character, dashes, or a bracketed note, whole or cut itself."""
+    kind = draw.random()
+    if kind < 0.3:
+        return ""
+    if kind < 0.65:
+        return draw.choice(("", " ")) + draw.choice(("…", "...", "\ufffd", "--", "—"))
+    words = draw.choice(("", "", "text ", "output ", "response ", "message ")) + draw.choice(("cut", "cut off", "truncated", "continued", "cont", "cont.", "incomplete", "end", "eos", "eot", "limit reached", "more"))
+    opens, closes = draw.choice(("[]", "()", "<>", "[]", "()"))
+    return draw.choice((" ", " ", "", "\n")) + opens + draw.choice((words, words.capitalize(), words.upper())) + draw.choice((closes, closes, "", "..." + closes))
+
+
 def cut_somewhere(text: str, limits: tuple[int | None, int | None], draw: random.Random) -> str | None:
     """An intact text, cut inside a word, sentence or formula, perhaps with a sign; None if too short."""
     at_limit = limits[0] or limits[1]
@@ -184,7 +256,7 @@ def cut_somewhere(text: str, limits: tuple[int | None, int | None], draw: random
         return None
     for _ in range(12):
         if limits[1] and draw.random() < 0.5:
-            words = list(regex.finditer(r"\S+", text))
+            words = list(re.finditer(r"\S+", text))
             part = text[: words[draw.randrange(len(words) // 3, len(words))].end()]
         else:
             low = SHORTEST_CUT if draw.random() < 0.3 else len(text) // 3
@@ -193,11 +265,11 @@ def cut_somewhere(text: str, limits: tuple[int | None, int | None], draw: random
             part = text[: draw.randrange(min(low, len(text) - 2), len(text) - 1)]
         rest = text[len(part) :]
         inside, in_code, _ = open_parts(part)
-        if not rest.strip() or (not inside and not in_code and regex.search(r"[.!?。:∎)]\s*$|\n\s*$|F$", part)) or regex.match(r"\s*\n", rest):
+        if not rest.strip() or (not inside and not in_code and re.search(r"[.!?。:∎)]\s*$|\n\s*$|F$", part)) or re.match(r"\s*\n", rest):
             continue
-        if regex.fullmatch(r"(?:[\s*_'}|\\]|</?\w+>|<!--.*?-->|[.。)])*", rest):
+        if re.fullmatch(r"(?:[\s*_'}|\\]|</?\w+>|<!--.*?-->|[.。)])*", rest):
             continue
-        sign = draw.choice(SIGNS)
+        sign = cut_sign(draw)
         if sign == "…" or sign.startswith(" ") or not at_limit:
             part = part.rstrip() if draw.random() < 0.5 else part
         return part + sign
@@ -205,34 +277,33 @@ def cut_somewhere(text: str, limits: tuple[int | None, int | None], draw: random
 
 
 def train(rows: list[tuple[str, str]], limits: dict, counts: np.ndarray, seed: int = 3) -> Linear:
-    """Three rounds on (source, text).
+    """Three rounds on (source, text), features made once.
 
     At first all values below their source's limits count as intact; each later round
-    leaves out those that the round before takes for cut.
+    leaves out those, with what was made of them, that the round before takes for cut.
     """
-    none = (None, None)
-    limit = lambda source: limits.get(source, none)
+    draw, places = random.Random(seed), Places()
+    limit = lambda source: limits.get(source, (None, None))
     below = [(s, t) for s, t in rows if not (limit(s)[0] and len(t) >= limit(s)[0] or limit(s)[1] and len(t.split()) >= limit(s)[1])]
-    kept, model = below, None
-    for round_ in range(3):
-        draw = random.Random(seed + round_)
-        made: list[Features] = []
-        truth: list[float] = []
-        for source, text in kept:
-            own = limit(source)
-            as_limit = lambda t: (len(t) if own[0] and draw.random() < 0.5 else own[0], len(t.split()) if own[1] and draw.random() < 0.5 else own[1])  # noqa: E731,B023
-            made.append(features(text, own if draw.random() < 0.97 else as_limit(text), counts))
-            truth.append(0.0)
-            for _ in range(2):
-                part = cut_somewhere(text, own, draw)
-                if part:
-                    # where the source has a limit, half of the cuts count as made by it
-                    made.append(features(part, as_limit(part), counts))
-                    truth.append(1.0)
-        model = fit(made, np.array(truth)[:, None], ("cut",), epochs=3 if round_ < 2 else 6, seed=seed)
-        if round_ < 2:
-            scores = model.scores([features(t, limit(s), counts) for s, t in below])[:, 0]
-            kept = [row for row, p in zip(below, scores) if p < 0.4] or below
+    made: list[Features] = []
+    truth: list[float] = []
+    owner: list[int] = []
+    for k, (source, text) in enumerate(below):
+        own = limit(source)
+        as_limit = lambda t: (len(t) if own[0] and draw.random() < 0.5 else own[0], len(t.split()) if own[1] and draw.random() < 0.5 else own[1])  # noqa: E731,B023
+        parts = [p for p in (cut_somewhere(text, own, draw) for _ in range(2)) if p]
+        # where the source has a limit, half of the cuts count as made by it
+        made += [features(text, own if draw.random() < 0.97 else as_limit(text), counts), *(features(p, as_limit(p), counts) for p in parts)]
+        truth += [0.0, *(1.0 for _ in parts)]
+        owner += [k] * (1 + len(parts))
+    packed, truth_, owner_ = Sparse.of(made, places), np.array(truth), np.array(owner)
+    whole = packed.take(np.flatnonzero(truth_ == 0))
+    kept = np.ones(len(below), bool)
+    for last in (False, False, True):
+        some = np.flatnonzero(kept[owner_])
+        model = fit(packed.take(some), truth_[some], epochs=6 if last else 3, seed=seed)
+        sound = model.scores(whole) < 0.4
+        kept = sound if sound.any() else np.ones(len(below), bool)
     return model
 
 
@@ -245,24 +316,21 @@ def score(df: DataFrame, id_col: str, text_col: str, source_col: str, sample_row
     """
     texts = df.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), F.col(text_col).cast("string").alias("text"))
     filled = texts.where("text is not null and trim(text) <> ''")
-    rows = [(r["source"], r["text"]) for r in sample(filled.select("id", "source", "text"), "id", sample_rows)]
-    usable = len(rows) >= 20
-    limits = limits_of(filled) if usable else {}
-    counts = corpus_counts(filled.select("text")) if usable else np.zeros((3, WORD_BUCKETS), np.int64)
-    model = train(rows, limits, counts) if usable else None
-    sent = df.sparkSession.sparkContext.broadcast((model and model.parts(), limits, counts.astype(np.int32)))
+    learned = learn(filled.withColumn("more", F.lit(None).cast("string")), sample_rows)
+    rows = [(s, t) for s, t, _ in learned.rows if t.strip()]
+    model = train(rows, learned.limits, learned.counts) if len(rows) >= 20 else None
+    sent = df.sparkSession.sparkContext.broadcast((model and model.parts(), learned.limits, learned.counts.astype(np.int32)))
 
     def run(frames):
-        made, limit, seen = sent.value
-        fitted = Linear(*made) if made else None
+        parts, limit, seen = sent.value
+        fitted, places = Linear(*parts) if parts else None, Places()
         for frame in frames:
             p = np.zeros(len(frame))
             if fitted is not None:
                 there = [k for k, t in enumerate(frame["text"]) if t and t.strip()]
-                for a in range(0, len(there), 500):
-                    some = there[a : a + 500]
-                    p[some] = fitted.scores([features(frame["text"].iat[k], limit.get(frame["source"].iat[k], (None, None)), seen) for k in some])[:, 0]
-            least = fitted.thresholds[0] if fitted is not None else 2.0
+                names = [features(t, limit.get(s, (None, None)), seen) for t, s in zip(frame["text"].iloc[there], frame["source"].iloc[there])]
+                p[there] = fitted.scores(Sparse.of(names, places))
+            least = fitted.threshold if fitted is not None else 2.0
             yield pd.DataFrame({"id": frame["id"], "source": frame["source"], "p_cut": p, "cut": p >= least})
 
     return texts.mapInPandas(run, "id bigint, source string, p_cut double, cut boolean").withColumnRenamed("id", id_col).withColumnRenamed("source", source_col)
@@ -272,4 +340,3 @@ def rates(scored: DataFrame, source_col: str) -> DataFrame:
     """(source, records, cut_records, cut_rate) per source."""
     by = scored.groupBy(source_col).agg(F.count(F.lit(1)).alias("records"), F.sum(F.col("cut").cast("bigint")).alias("cut_records"))
     return by.withColumn("cut_rate", F.col("cut_records") / F.col("records"))
-
