@@ -2,8 +2,8 @@
 
 A text is parsed into leaves (lines and parts of lines between block tags) that carry
 their ancestors: HTML elements, LaTeX environments and wiki tags. Each leaf has features
-of its ancestors and of its text; the CRF labels the sequence by Viterbi with the kind of
-block and whether it bears markup. Labels give both the finding (which fields hold
+of its ancestors and of the characters around its marks; the CRF labels the sequence by Viterbi
+with the kind of block and whether it bears markup. Labels give both the finding (which fields hold
 markup) and the clean text, in which headings, lists, code and formulas are kept.
 """
 
@@ -35,38 +35,12 @@ VOID_TAGS = frozenset("br hr img input meta link wbr".split())
 TAG = regex.compile(r"<!--.*?(?:-->|\Z)|</?[A-Za-z][A-Za-z0-9]*(?:\s+[A-Za-z_:][\w:.-]*(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'=<>`]+))?)*\s*/?>|\\(?:begin|end)\{[A-Za-z]+\*?\}|\n", regex.DOTALL)
 PROTECTED = regex.compile(r"(?P<code>```[ \t]*(?:python|py)[ \t]*\n.*?(?:```|\Z))|(?P<other>```.*?(?:```|\Z))|(?P<formula>\$\$.*?(?:\$\$|\Z)|\\\[.*?(?:\\\]|\Z)|\$[^$\n]*(?:\$|(?=\n)|\Z))", regex.DOTALL | regex.IGNORECASE)
 
-#: Lexemes of markup in a leaf's masked text.
-LEXEMES = {
-    "entity": r"&(?:[A-Za-z][A-Za-z0-9]{1,30}|#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6});",
-    "md_star": r"(?<![\w*\\])(\*{1,3})(?=[^\s*])[^*\n]*?(?<=[^\s*])\1(?![\w*])",
-    "md_under": r"(?<![\w_\\])(_{1,3})(?=[^\s_])[^_\n]*?(?<=[^\s_])\1(?![\w_])",
-    "md_strike": r"~~(?=\S)[^~\n]*?(?<=\S)~~",
-    "md_code": r"(?<!`)`[^`\n]+`(?!`)",
-    "md_head": r"^\s{0,3}#{1,6}\s+\S",
-    "md_rule": r"^\s*(?:={3,}|-{3,}|\*{3,}|_{3,})\s*$",
-    "md_quote": r"^\s{0,3}>+(?:\s|$)",
-    "md_link": r"!?\[[^\]\n]*\]\((?:https?:|mailto:|/|#|[\w.-]+\.\w)[^)\n]*\)",
-    "md_ref": r"\[[^\]\n]+\]\[[^\]\n]*\]",
-    "md_table": r"^\s*\|.*\|\s*$|^\s*\|?(?:\s*:?-{3,}:?\s*\|)+",
-    "md_bullet": r"^\s{0,3}[*+]\s+\S",
-    "wiki_head": r"^\s*(={2,6})[^=\n].*?\1\s*$",
-    "wiki_quote": r"'{2,5}(?=[^'\s])[^\n]*?'{2,5}",
-    "wiki_link": r"\[\[[^\[\]\n]+\]\]",
-    "wiki_template": r"\{\{[^{}\n]+\}\}",
-    "wiki_external": r"\[https?://[^\]\s]+(?: [^\]\n]*)?\]",
-    "latex_command": r"\\(?:[A-Za-z]{2,}\*?)(?:\s*\[[^\]\n]*\])?",
-    "latex_break": r"\\\\(?:\s|$)",
-    "latex_tie": r"~\\",
-    "latex_escape": r"\\[%&#_{}]",
-}
-#: Marks that plain text may hold too.
-WEAK = {
-    "star": r"\*", "under": r"_", "hash": r"#", "pipe": r"\|", "angle": r"[<>]", "amp": r"&", "bracket": r"\[", "brace": r"[{}]", "back": r"\\", "tick": r"`", "tilde": r"~", "quote2": r"''", "equals": r"=",
-    "ordered": r"^\s*\d+[.)]\s+\S", "dash": r"^\s*-\s", "letter_bracket": r"\w\[", "power": r"\w\*\*\w", "braket": r"<\w+\|\w+>", "label": r"^\[?\w+(?: \w+)?:",
-}
-COMPILED = {k: regex.compile(v, regex.MULTILINE) for k, v in LEXEMES.items()}
-COMPILED_WEAK = {k: regex.compile(v) for k, v in WEAK.items()}
-ANY_MARK = regex.compile(r"[&*_~`#=>\[|'{\\+-]")
+#: Marks that markup and plain text both hold; what they mean is for the chain to say.
+RUN = regex.compile(r"://|[<>&*_~`#=\[\]|{}\\^+!@-]+|'{2,}")
+ANY_MARK = regex.compile(r"://|[<>&*_~`#=\[\]|{}\\^+!@-]|''")
+SHAPE = regex.compile(r"(\x01+)|(\x02+)|(\p{L}[\p{L}\p{M}]*(?:['’]\p{L}+)*)|(\d+(?:[.,]\d+)*)|(\s+)")
+#: Texts of these characters alone bear no markup: pages are made from them.
+BARE = regex.compile(r"[\p{L}\p{M}\d\s\x01\x02.,;:!?()'’\"“”„«»%/–—…-]*")
 
 
 @dataclass
@@ -160,44 +134,48 @@ def parse(text: str) -> list[Leaf]:
     return leaves
 
 
-def lexemes(leaf: Leaf) -> list[str]:
-    if not ANY_MARK.search(leaf.masked):
-        return []
-    return [name for name, p in COMPILED.items() if p.search(leaf.masked)]
+def marks(masked: str) -> list[str]:
+    """What stands where marks are: each run of marks with the form of its surroundings, and each with the next."""
+    form = "^" + SHAPE.sub(lambda m: "FCa0 "[m.lastindex - 1], masked.strip()) + "$"
+    out, last, end = [], "", 0
+    for m in RUN.finditer(form, 1, len(form) - 1):
+        run, left, right = m.group()[:6], form[max(0, m.start() - 2) : m.start()], form[m.end() : m.end() + 2]
+        out += ["m=" + run, f"l={left[-1:]}{run}", f"r={run}{right[:1]}", f"b={left[-1:]}{run}{right[:1]}", f"w={left}{run}{right}", f"rr={run}{right}"]
+        if last:
+            between = form[end : m.start()]
+            out.append(f"p={last}>{run}:{'a' if between.strip('a ') == '' else between[:3] if len(between) < 4 else 'x'}{between[:1] == ' ':d}{between[-1:] == ' ':d}")
+        last, end = run, m.end()
+    return out
 
 
 def features(leaves: list[Leaf]) -> list[list[str]]:
-    """Names of the features that hold for each leaf."""
+    """Names of the features that hold for each leaf: its ancestors, the forms around its marks, its outline, and its neighbours' beginnings."""
     out = []
+    texts = [leaf.masked.strip() for leaf in leaves]
     before = "start"
-    found_all = [lexemes(leaf) for leaf in leaves]
-    for k, leaf in enumerate(leaves):
-        found = found_all[k]
-        text = leaf.masked.strip()
-        names = ["bias"]
-        names += ["lex=" + x for x in found]
-        names.append("lexemes=" + str(min(3, len(found))))
+    for k, (leaf, text) in enumerate(zip(leaves, texts)):
+        names = ["bias", "parent=" + (leaf.path[-1] if leaf.path else "none")]
         names += ["anc=" + x for x in set(leaf.path)]
-        names.append("parent=" + (leaf.path[-1] if leaf.path else "none"))
         names += ["hint=" + h for h in set(leaf.hints)]
         if leaf.path or leaf.hints:
             names.append("in_dom")
+            names += {"kind=" + h.split(":")[0] for h in leaf.hints}
         solid = text.replace(MASK_FORMULA, "").replace(MASK_CODE, "").strip(" .,;:")
         if not solid:
             names.append("only_formula" if MASK_FORMULA in text else "only_code" if MASK_CODE in text else "nothing")
         elif MASK_FORMULA in text:
             names.append("has_formula")
         if ANY_MARK.search(text):
-            names += ["weak=" + x for x, p in COMPILED_WEAK.items() if p.search(text)]
+            names += set(marks(text))
         else:
             names.append("no_marks")
         n = len(solid)
         names.append("length=" + ("0" if n == 0 else "short" if n < 40 else "mid" if n < 160 else "long"))
         names.append("ends=" + ("stop" if solid != text and text[-1:] in ".;:," else "dot" if text.endswith(".") else "word" if text[-1:].isalnum() else "mark"))
         names.append("before=" + before)
-        if k + 1 < len(leaves):
-            names += ["next:" + x for x in found_all[k + 1] if x in ("md_rule", "md_table")]
-        before = "md" if any(x.startswith("md_") for x in found) else "wiki" if any(x.startswith("wiki_") for x in found) else "latex" if any(x.startswith("latex_") for x in found) else "dom" if leaf.path or leaf.hints else "plain"
+        if k + 1 < len(texts):
+            names.append("next=" + SHAPE.sub(lambda m: "FCa0 "[m.lastindex - 1], texts[k + 1][:24])[:3])
+        before = ("dom" if leaf.path or leaf.hints else "") + SHAPE.sub(lambda m: "FCa0 "[m.lastindex - 1], text[:24])[:2]
         out.append(names)
     return out
 
@@ -276,7 +254,7 @@ class Crf:
         return node, edge
 
 
-def fit(pages: list[tuple[list[np.ndarray], list[int]]], epochs: int = 4, rate: float = 0.3, ridge: float = 1e-4, seed: int = 1) -> Crf:
+def fit(pages: list[tuple[list[np.ndarray], list[int]]], epochs: int = 5, rate: float = 0.3, ridge: float = 1e-4, seed: int = 1) -> Crf:
     """Maximum likelihood by AdaGrad, a page a step."""
     crf, draw = Crf.blank(), random.Random(seed)
     power = [np.full_like(x, 1e-1) for x in (crf.weights, crf.steps, crf.first, crf.last)]
@@ -307,10 +285,10 @@ def fit(pages: list[tuple[list[np.ndarray], list[int]]], epochs: int = 4, rate:
 
 
 def plain_kind(leaf: Leaf) -> str | None:
-    """The label of a leaf without markup; None if lexemes or ancestors say it has some."""
-    if leaf.path or leaf.hints or lexemes(leaf):
-        return None
+    """The label of a leaf that bears no markup for certain: no tags, and characters of plain sentences alone; else None."""
     text = leaf.masked.strip()
+    if leaf.path or leaf.hints or not BARE.fullmatch(text):
+        return None
     if MASK_CODE in text and not text.strip(MASK_CODE + " "):
         return "code"
     if MASK_FORMULA in text and not text.strip(MASK_FORMULA + " ."):
@@ -318,6 +296,38 @@ def plain_kind(leaf: Leaf) -> str | None:
     return "item" if regex.match(r"-\s", text) else "text"
 
 
+def plain_marks(draw: random.Random) -> str:
+    """Plain text that holds marks: comparisons, powers, products, identifiers, bra-kets, numbered and labelled brackets."""
+    v = lambda: draw.choice("abcfghkmnpqrstuvxyz") + draw.choice(("", "", "_1", "_2", "_n", "0", "_max"))
+    n = lambda: str(draw.choice((draw.randrange(2, 20), draw.randrange(20, 5000), round(draw.random() * 100, 2))))
+    word = lambda: draw.choice(("gap", "decay", "rate", "size", "value", "mean", "mass", "test", "max", "run", "energy", "flux"))
+    forms = (
+        lambda: f"{v()}{draw.choice((' < ', '<', ' > ', '>', '<=', ' >= ', ' << ', ' != ', ' == '))}{draw.choice((v(), n()))}",
+        lambda: f"{draw.choice((v(), n()))}{draw.choice(('**', '^', '*', ' * ', ' ** ', '^-'))}{draw.choice((v(), n()))}",
+        lambda: f"{v()}*{v()}*{v()}", lambda: f"{v()} * {v()} * {n()} = {n()}", lambda: f"{word()}_{word()}", lambda: f"{word()}_{word()}_{word()}", lambda: f"_{word()}", lambda: f"{word()}_",
+        lambda: f"<{v()}|{v()}>", lambda: f"<{v()}|{v()}|{v()}>", lambda: f"|{v()}>", lambda: f"|{v()}|", lambda: f"{v()}[{draw.choice((v(), n()))}]", lambda: f"{v()}[{v()}][{v()}]", lambda: f"[{n()}]", lambda: f"[{draw.randrange(1, 30)}, {draw.randrange(30, 60)}]",
+        lambda: f"[{word()} {word()}]", lambda: f"[{word()} of {word()} {draw.randrange(1, 9)}]", lambda: f"#{draw.randrange(1, 40)}", lambda: f"{draw.choice('CFRQ')}#", lambda: f"{draw.choice('ABQRT')}&{draw.choice('DJMT')}", lambda: f"{word()} & {word()}", lambda: f"~{n()}", lambda: f"~ {n()}",
+        lambda: f"{v()} ~ {n()}", lambda: f"{{{v()}, {v()}}}", lambda: f"{v()} = {n()}", lambda: f"{v()} += {n()}", lambda: f"{v()} -> {v()}", lambda: f"{v()} => {v()}", lambda: f"@{word()}", lambda: f"http{draw.choice(('', 's'))}://{word()}.example/{word()}", lambda: f"the mark {draw.choice('*#_~|^&')} on line {draw.randrange(1, 30)}", lambda: f"{word()}@{draw.randrange(1, 6)}",
+    )
+    return draw.choice(forms)()
+
+
+#: What stands in brackets without being markup.
+LABEL_WORDS = ("cut", "end", "missing", "empty", "note", "continued", "sic", "unclear", "page", "end of text", "not given", "see below", "output ends", "part", "citation")
+
+
+def with_marks(line: str, draw: random.Random) -> str:
+    """A plain line with some plain text that holds marks put in between its words."""
+    if draw.random() < 0.1:
+        # a bracketed label after the text, or alone
+        label = f"[{draw.choice(LABEL_WORDS)}{draw.choice(('', '', f' {draw.randrange(1, 9)}'))}]"
+        return label if draw.random() < 0.2 else f"{line} {label}"
+    spots = [m.start() for m in regex.finditer(r" ", regex.sub(r"\$[^$]*\$|```.*", lambda m: "\x01" * len(m.group()), line))]
+    for at in sorted(draw.sample(spots, min(len(spots), draw.choice((1, 1, 2)))), reverse=True):
+        line = line[:at] + " " + plain_marks(draw) + line[at:]
+    return line
+
+
 def emphasised(line: str, style: str, draw: random.Random) -> str:
     """One or two words outside formulas set in the markup of a style."""
     words = [m for m in regex.finditer(r"(?<![\w$\\{])\p{L}{3,}(?![\w$}])", regex.sub(r"\$[^$]*\$|```.*", lambda m: "\x01" * len(m.group()), line))]
@@ -326,7 +336,7 @@ def emphasised(line: str, style: str, draw: random.Random) -> str:
     ways = {
         "html": ["<b>{}</b>", "<i>{}</i>", "<em>{}</em>", "<strong>{}</strong>", "<span>{}</span>", "<u>{}</u>", "<sub>{}</sub>", '<a href="x">{}</a>', "<font color=red>{}</font>", "&ldquo;{}&rdquo;", "{}&nbsp;", "&#8220;{}&#8221;", "<code>{}</code>", "&amp;{}"],
         "markdown": ["**{}**", "*{}*", "__{}__", "_{}_", "***{}***", "~~{}~~", "`{}`", "[{}](http://a.example/b)", "[{}][3]", "![{}](a.png)"],
-        "wiki": ["''{}''", "'''{}'''", "[[{}]]", "[[a|{}]]", "{{{{term|{}}}}}", "{}<ref>note</ref>", "[http://a.example {}]", "{}{{{{citation needed|p=3}}}}"],
+        "wiki": ["''{}''", "'''{}'''", "[[{}]]", "[[a|{}]]", "{{{{term|{}}}}}", "{}<ref>note</ref>", "[http://a.example {}]", "{}{{{{note}}}}", "{{{{lang|xx|{}}}}}", "[[Some page#part|{}]]"],
         "latex": ["\\emph{{{}}}", "\\textit{{{}}}", "\\textbf{{{}}}", "\\underline{{{}}}", "\\mbox{{{}}}", "\\texttt{{{}}}", "{}~\\cite{{a}}", "{}~\\ref{{b}}", "{}\\footnote{{c}}", "\\href{{http://a.example}}{{{}}}", "{}\\label{{d}}", "{{\\it {}}}"],
     }[style]
     m = draw.choice(words)
@@ -339,14 +349,17 @@ def rendered(kinds: list[tuple[str, str]], style: str, draw: random.Random) -> l
     heavy = draw.random() < 0.6
 
     def para(line: str) -> tuple[str, str]:
+        if draw.random() < 0.08:
+            shown = {"html": ("<ul><li>{}</li></ul>", "<ol><li>{}</li></ol>"), "markdown": ("* {}", "+ {}", "  * {}"), "wiki": ("* {}", "** {}", "# {}", "*** {}"), "latex": ("\\item {}", "\\item[--] {}")}[style]
+            return draw.choice(shown).replace("{}", line), "item+"
         if style == "html" and heavy and draw.random() < 0.9:
             inner = emphasised(line, style, draw) if draw.random() < 0.5 else line
-            return draw.choice(("<p>{}</p>", '<p class="c3">{}</p>', "<div>{}</div>", "<P>{}</P>", "{}<br>", "{}<br/>")).replace("{}", inner), "text+"
+            return draw.choice(("<p>{}</p>", '<p id="s1">{}</p>', "<p style='margin:0'>{}</p>", '<div class="note">{}</div>', "<P>{}</P>", "<section>{}</section>", "<center>{}</center>", "{}<br>", "{}<br/>")).replace("{}", inner), "text+"
         if draw.random() < (0.5 if heavy else 0.2):
             new = emphasised(line, style, draw)
             return new, "text+" if new != line else "text"
         if style == "latex" and draw.random() < 0.06:
-            return draw.choice(("\\begin{center} {}", "\\begin{center} {} \\end{center}", "\\item {}", "\\begin{quote} {}")).replace("{}", line), "text+"
+            return draw.choice(("\\begin{center} {}", "\\begin{center} {} \\end{center}", "\\begin{quote} {}")).replace("{}", line), "text+"
         if style == "markdown" and draw.random() < 0.05:
             return "#" * draw.randrange(1, 5) + " " + line, "head+"
         if style == "latex" and draw.random() < 0.15:
@@ -355,7 +368,7 @@ def rendered(kinds: list[tuple[str, str]], style: str, draw: random.Random) -> l
             return "> " + line, "quote+"
         return line, "text"
 
-    title = " ".join(draw.sample(["Variance", "energy", "loss", "Mass", "gap", "main", "result", "Proof"], 2))
+    title = " ".join(draw.sample(["Overview", "remarks", "method", "Notes", "first", "outline", "summary", "Proof"], 2))
     if draw.random() < 0.5:
         out.append({"html": (f"<h{draw.randrange(1, 5)}>{title}</h3>", "head+"), "markdown": ("#" * draw.randrange(1, 5) + " " + title, "head+"), "wiki": (f"== {title} ==", "head+"), "latex": (draw.choice(("\\section{%s}", "\\subsection*{%s}", "\\paragraph{%s}")) % title, "head+")}[style])
     elif style == "markdown" and draw.random() < 0.3:
@@ -384,7 +397,7 @@ def rendered(kinds: list[tuple[str, str]], style: str, draw: random.Random) -> l
             elif style == "markdown" and draw.random() < 0.4:
                 out += [("| item | value |", "table+"), ("|---|---|", "table+")] + [(f"| {x.split(' with ')[0]} | {x} |", "table+") for x in bare]
             else:
-                mark = draw.choice("*+") if style == "markdown" else draw.choice("*#")
+                mark = draw.choice("*+") if style == "markdown" else draw.choice(("*", "#", "**"))
                 out += [(f"{mark} {emphasised(x, style, draw)}", "item+") for x in bare]
         elif kind == "code":
             body = regex.sub(r"^```\w*\n|```$", "", line)
@@ -393,7 +406,7 @@ def rendered(kinds: list[tuple[str, str]], style: str, draw: random.Random) -> l
             elif style == "html":
                 out.append((f"<pre><code>{html.escape(body, quote=False)}</code></pre>", "code+"))
             elif style == "wiki":
-                out.append((f'<syntaxhighlight lang="python">\n{body}</syntaxhighlight>', "code+"))
+                out.append((draw.choice((f"<source lang=py>\n{body}</source>", f"<pre>\n{body}</pre>", f'<syntaxhighlight lang="py">\n{body}</syntaxhighlight>')), "code+"))
             elif style == "latex":
                 out.append((f"\\begin{{python}}\n{body}\n\\end{{python}}", "code+"))
             else:
@@ -409,8 +422,12 @@ def rendered(kinds: list[tuple[str, str]], style: str, draw: random.Random) -> l
             else:
                 out.append((line, "formula"))
         k += 1
+    if draw.random() < 0.3:
+        inner = draw.choice(("\\sqrt{x}", "\\frac{a}{b}", "x_1 + y^2", "\\sum_{k} a_k", "E = m c^2", "\\int f(x) dx", "a < b", "\\alpha \\beta = 1"))
+        shown = {"html": f"<math>{inner}</math>", "wiki": f"<math>{inner}</math>", "latex": draw.choice(("\\begin{equation}\n%s\n\\end{equation}", "\\begin{align}\n%s\n\\end{align}", "\\begin{equation*}%s\\end{equation*}")) % inner, "markdown": f"$$ {inner} $$"}
+        out.insert(draw.randrange(len(out) + 1), (shown[style], "formula" if style == "markdown" else "formula+"))
     if draw.random() < 0.15:
-        out.insert(draw.randrange(len(out) + 1), {"html": ("<!-- block 7 -->", "drop+"), "markdown": ("---", "drop+"), "wiki": ("{{reflist}}", "text+"), "latex": ("\\newpage", "text+")}[style])
+        out.insert(draw.randrange(len(out) + 1), {"html": ("<!-- " + " ".join(draw.sample(["begin", "of", "text", "part", "a", "todo", "check"], draw.randrange(1, 4))) + " -->", "drop+"), "markdown": ("---", "drop+"), "wiki": ("{{reflist}}", "text+"), "latex": ("\\newpage", "text+")}[style])
     return out
 
 
@@ -431,21 +448,44 @@ def labelled(pieces: list[tuple[str, str]], sep: str) -> tuple[list[Leaf], list[
     return leaves, labels
 
 
+#: Pages to render where the sample has fewer plain ones.
+OWN_PAGES = (
+    "We start from the action and vary it.\nThe boundary term drops out (see above).\n- first case\n- second case\nSo the claim follows: the sum is finite.",
+    "Let the length be fixed.\n$$ x = y $$\nThen $x$ grows, and the ratio of both is constant, as expected.\n```python\nprint(1)\n```",
+    "Es sei die Länge fest. Dann wächst die Summe.\n- erster Fall\n- zweiter Fall\nDamit folgt die Behauptung.",
+    "Soit la longueur fixe; alors la somme croît. Le résultat est donc fini.",
+)
+FEWEST_PAGES = 40
+
+
 def train(texts: list[str], seed: int = 9) -> Crf:
-    """Labelled pages from the leaves of texts without markup, as they are and in four styles."""
+    """Labelled pages from texts that are plain for certain: as they are, with plain text that holds marks, and rendered in four styles."""
     draw = random.Random(seed)
-    pages: list[tuple[list[np.ndarray], list[int]]] = []
+    bases = []
     for text in texts:
         leaves = parse(text)
         kinds = [plain_kind(leaf) for leaf in leaves]
-        if not leaves or None in kinds:
-            continue
-        base = list(zip(kinds, (leaf.raw for leaf in leaves)))
-        pages.append((places(features(leaves)), [LABELS.index(k) for k in kinds]))
-        for style in draw.sample(("html", "markdown", "wiki", "latex"), 2):
-            got, labels = labelled(rendered(base, style, draw), draw.choice(("\n", "\n\n")))
-            if got:
-                pages.append((places(features(got)), labels))
+        if leaves and None not in kinds:
+            bases.append(list(zip(kinds, (leaf.raw for leaf in leaves))))
+    while len(bases) < FEWEST_PAGES:
+        leaves = parse(OWN_PAGES[len(bases) % len(OWN_PAGES)])
+        bases.append(list(zip(map(plain_kind, leaves), (leaf.raw for leaf in leaves))))
+    pages: list[tuple[list[np.ndarray], list[int]]] = []
+    known: dict[str, int] = {}
+
+    def put(pieces: list[tuple[str, str]]) -> None:
+        got, labels = labelled(pieces, draw.choice(("\n", "\n\n")))
+        if got:
+            pages.append((places(features(got), known), labels))
+
+    for base in bases:
+        put([(line, kind) for kind, line in base])
+        held = [(kind, with_marks(line, draw) if kind in ("text", "item") and draw.random() < 0.5 else line) for kind, line in base]
+        # what is put in must not make another page of it
+        held = [(kind, line) if len(parse(line)) == 1 and not parse(line)[0].hints else (kind, old) for (kind, line), (_, old) in zip(held, base)]
+        put([(line, kind) for kind, line in held])
+        for style in draw.sample(("html", "markdown", "wiki", "latex"), 3):
+            put(rendered(held if draw.random() < 0.5 else base, style, draw))
     return fit(pages)
 
 
@@ -537,11 +577,11 @@ def clean(leaves: list[Leaf], labels: list[str]) -> str:
 
 def fields_of(tables: list[tuple[str, DataFrame, str, list[str]]]) -> DataFrame:
     """(table_name, row_id, field_name, text) from (name, frame, id column, text columns)."""
-    parts = [
-        frame.select(F.lit(name).alias("table_name"), F.col(id_col).cast("bigint").alias("row_id"), F.lit(column).alias("field_name"), F.col(column).cast("string").alias("text"))
-        for name, frame, id_col, columns in tables
-        for column in columns
-    ]
+    parts = []
+    for name, frame, id_col, columns in tables:
+        # all columns from one scan
+        each = F.explode(F.array(*(F.struct(F.lit(c).alias("field_name"), F.col(c).cast("string").alias("text")) for c in columns)))
+        parts.append(frame.select(F.lit(name).alias("table_name"), F.col(id_col).cast("bigint").alias("row_id"), each.alias("_f")).select("table_name", "row_id", "_f.*"))
     return reduce(DataFrame.unionByName, parts)
 
 
