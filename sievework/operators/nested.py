@@ -15,20 +15,35 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievework.session import scratch
+
 EMITTED = "record_id bigint, tag string, parent_key string, child_key string, payload string"
 
-#: Fields of each table's payload; what is of more than one shape stays JSON text.
-TABLES = {
-    "test_cases": "case_id bigint, inputs string, output string, output_type string, tolerance double",
-    "case_inputs": "value string",
-    "gradings": "`index` bigint, timestamp string, problem_quality bigint, problem_quality_comment string, solution_completeness bigint, solution_completeness_comment string, solution_quality bigint, solution_quality_comment string, test_case_quality bigint, test_case_quality_comment string",
-    "models": "model string",
-    "attempts": "timestamp string, prompt_type string, detailed_solution string",
-    "verdicts": "verified string, error string, timestamp string, matched_code string, details string",
-    "verdict_cases": "inputs string, standard_output string, attempt_output string, matches boolean, tolerance_used double",
+#: Fields of each table's payload; what is of more than one shape stays JSON text (type json).
+#: ``value`` is an element that is no object, ``other`` the fields that are not listed or of another type.
+FIELDS = {
+    "test_cases": {"case_id": "bigint", "inputs": "json", "output": "json", "output_type": "string", "tolerance": "double"},
+    "case_inputs": {},
+    "gradings": {
+        "index": "bigint", "timestamp": "string",
+        "problem_quality": "bigint", "problem_quality_comment": "string", "solution_completeness": "bigint", "solution_completeness_comment": "string",
+        "solution_quality": "bigint", "solution_quality_comment": "string", "test_case_quality": "bigint", "test_case_quality_comment": "string",
+        "seed_correspondence": "bigint", "seed_correspondence_comment": "string", "output_seed_correspondence": "bigint", "output_seed_correspondence_comment": "string",
+    },
+    "models": {"model": "string"},
+    "attempts": {"timestamp": "string", "prompt_type": "string", "detailed_solution": "string"},
+    "verdicts": {"verified": "bigint", "error": "string", "timestamp": "string", "matched_code": "string", "details": "json"},
+    "verdict_cases": {"inputs": "json", "standard_output": "json", "attempt_output": "json", "matches": "boolean", "tolerance_used": "double"},
 }
-#: Keys of a payload that are tables of their own.
+#: Keys of an element that are tables of their own.
 NESTED_KEYS = {"models": {"attempts"}, "attempts": {"verifier_result"}, "verdicts": {"test_cases"}}
+PYTHON = {"bigint": int, "double": float, "string": str, "boolean": bool}
+
+
+def schema_of(tag: str) -> str:
+    """The payload's schema in DDL."""
+    named = ", ".join(f"`{name}` {'string' if kind == 'json' else kind}" for name, kind in FIELDS[tag].items())
+    return ", ".join(x for x in (named, "`value` string", "`other` string") if x)
 
 
 def content(value: Any) -> Any:
@@ -80,16 +95,33 @@ def top_object(text: str | None) -> dict[str, Any] | None:
     return value if isinstance(value, dict) else None
 
 
+def fits(value: Any, kind: str) -> bool:
+    """Whether a JSON value is of a field's type as it stands."""
+    if kind == "json":
+        return True
+    if kind == "double":
+        return isinstance(value, (int, float)) and not isinstance(value, bool)
+    return isinstance(value, PYTHON[kind]) and not (kind == "bigint" and isinstance(value, bool)) and not (kind == "bigint" and abs(value) >= 1 << 63)
+
+
 def payload(tag: str, value: Any) -> str:
-    """The element as JSON text, without the parts that are tables of their own."""
-    if tag == "case_inputs":
-        value = {"value": json.dumps(value, ensure_ascii=False)}
-    elif isinstance(value, dict):
-        skip = NESTED_KEYS.get(tag, ())
-        value = {k: v for k, v in value.items() if k not in skip}
-    else:
-        value = {"value": value}
-    return json.dumps(value, ensure_ascii=False)
+    """The element as JSON text of the table's fields; nothing is lost: what has no field goes to ``value`` or ``other``."""
+    dump = lambda x: json.dumps(x, ensure_ascii=False)
+    if tag == "case_inputs" or not isinstance(value, dict):
+        return dump({"value": dump(value)})
+    out, other = {}, {}
+    fields, skip = FIELDS[tag], NESTED_KEYS.get(tag, ())
+    for name, x in value.items():
+        if name in skip or x is None:
+            continue
+        kind = fields.get(name)
+        if kind is None or not fits(x, kind):
+            other[name] = x
+        else:
+            out[name] = x if kind != "json" or isinstance(x, str) else dump(x)
+    if other:
+        out["other"] = dump(other)
+    return dump(out)
 
 
 def visit(document: dict[str, Any]) -> Iterator[tuple[str, str, str, Any]]:
@@ -117,7 +149,7 @@ def visit(document: dict[str, Any]) -> Iterator[tuple[str, str, str, Any]]:
                     yield "verdict_cases", f"{model}/{attempt}/{verdict}", str(case), compared
 
 
-def emit(records: DataFrame, id_col: str = "record_id", json_col: str = "record_json", with_payload: bool = True) -> DataFrame:
+def emit(records: DataFrame, id_col: str = "record_id", json_col: str = "record_json") -> DataFrame:
     """(record_id, tag, parent_key, child_key, payload): one row per nested element.
 
     Null records and records that end too early give no rows; text after the top object is
@@ -132,7 +164,7 @@ def emit(records: DataFrame, id_col: str = "record_id", json_col: str = "record_
                 for record, text in zip(frame["id"].iloc[start : start + 200], frame["doc"].iloc[start : start + 200]):
                     document = top_object(text)
                     if document is not None:
-                        rows.extend((record, tag, parent, child, payload(tag, body) if with_payload else None) for tag, parent, child, body in visit(document))
+                        rows.extend((record, tag, parent, child, payload(tag, body)) for tag, parent, child, body in visit(document))
                 yield pd.DataFrame(rows, columns=["record_id", "tag", "parent_key", "child_key", "payload"])
 
     source = records.select(F.col(id_col).cast("bigint").alias("id"), F.col(json_col).cast("string").alias("doc"))
@@ -140,13 +172,19 @@ def emit(records: DataFrame, id_col: str = "record_id", json_col: str = "record_
 
 
 def found(records: DataFrame) -> DataFrame:
-    """(record_id, child_table, parent_key, child_key) of every nested element."""
-    return emit(records, with_payload=False).select("record_id", F.col("tag").alias("child_table"), "parent_key", "child_key")
+    """(record_id, child_table, parent_key, child_key) of every nested element, from the stream as it was written by tag."""
+    path = scratch(records.sparkSession, "nested")
+    write(records, path)
+    stored = records.sparkSession.read.schema(f"{STORED}, tag string").parquet(path)
+    return stored.select("record_id", F.col("tag").alias("child_table"), "parent_key", "child_key")
+
+
+STORED = "record_id bigint, parent_key string, child_key string, payload string"
 
 
 def typed(emitted: DataFrame, tag: str) -> DataFrame:
-    """One table of the stream under its schema; fields of another shape are null there."""
-    fields = F.from_json("payload", TABLES[tag], {"allowNonNumericNumbers": "true", "mode": "PERMISSIVE"})
+    """One table of the stream under its schema."""
+    fields = F.from_json("payload", schema_of(tag), {"allowNonNumericNumbers": "true", "mode": "PERMISSIVE"})
     return emitted.where(F.col("tag") == tag).select("record_id", "parent_key", "child_key", fields.alias("f")).select("record_id", "parent_key", "child_key", "f.*")
 
 
@@ -156,5 +194,12 @@ def write(records: DataFrame, path: str) -> None:
 
 
 def read(spark: SparkSession, path: str, tag: str) -> DataFrame:
-    """One table back from ``write``: only its partition is read."""
-    return typed(spark.read.parquet(path), tag)
+    """One table back from ``write``: only its partition is read. A table without rows is empty."""
+    return typed(spark.read.schema(f"{STORED}, tag string").parquet(path), tag)
+
+
+def flattened(records: DataFrame, tag: str) -> DataFrame:
+    """One table of the records, through the stored stream."""
+    path = scratch(records.sparkSession, "nested")
+    write(records, path)
+    return read(records.sparkSession, path, tag)

@@ -447,19 +447,116 @@ def attempt_times_all(spark, sf_dir):
 # --- documents, code, calls ---------------------------------------------------------
 
 
-@query()
+def opened(x: str) -> str:
+    """SQL: a string that holds a JSON object or array stands for it."""
+    inner = f"({x})->>'$'"
+    return f"CASE WHEN json_type({x}) = 'VARCHAR' AND regexp_matches({inner}, '^\\s*[\\[{{]') AND json_valid({inner}) THEN ({inner})::JSON ELSE ({x}) END"
+
+
+def listed(x: str) -> str:
+    """SQL: positions and elements of an array; a single object is an array of one."""
+    return f"CASE json_type({x}) WHEN 'ARRAY' THEN from_json({x}, '[\"JSON\"]') WHEN 'OBJECT' THEN [{x}] ELSE []::JSON[] END"
+
+
+def exploded(name: str, source: str, keys: str, array: str) -> str:
+    """CTEs: a row (keys, pos, e) per element that is not null."""
+    return f"""{name}_a AS (SELECT {keys}, {opened(array)} AS a FROM {source}),
+      {name}_l AS (SELECT * EXCLUDE (a), {listed('a')} AS l FROM {name}_a),
+      {name}_u AS (SELECT * EXCLUDE (l), unnest(l) AS x, unnest(range(len(l))) AS pos FROM {name}_l),
+      {name} AS (SELECT * EXCLUDE (x), {opened('x')} AS e FROM {name}_u WHERE coalesce(json_type(x), 'NULL') <> 'NULL')"""
+
+
+def member_sql(x: str, name: str) -> str:
+    return f"CASE WHEN json_type({x}) = 'OBJECT' THEN json_extract({x}, '$.{name}') END"
+
+
+#: The nested tables in SQL: broken documents are cut at the end of their first whole object.
+NESTED_SQL = f"""
+      ends AS (SELECT record_id, record_json, unnest(string_split(record_json, '}}')) AS part FROM problem_records WHERE NOT json_valid(record_json)),
+      places AS (SELECT record_id, record_json, sum(length(part) + 1) OVER (PARTITION BY record_id ORDER BY rowid_ ROWS UNBOUNDED PRECEDING) AS upto FROM (SELECT *, row_number() OVER () AS rowid_ FROM ends)),
+      cut AS (SELECT record_id, min_by(left(record_json, upto::bigint), upto) AS doc FROM places WHERE json_valid(left(record_json, upto::bigint)) GROUP BY 1),
+      docs AS (SELECT record_id, record_json::JSON AS d FROM problem_records WHERE json_valid(record_json) UNION ALL SELECT record_id, doc::JSON FROM cut),
+      top AS (SELECT record_id, d, {opened(member_sql('d', 'problem_details'))} AS details, {opened(member_sql('d', 'quality_gradings'))} AS grades FROM docs WHERE json_type(d) = 'OBJECT'),
+      test AS (SELECT record_id, {opened(member_sql('details', 'test'))} AS test FROM top),
+      {exploded('test_cases', 'test', 'record_id', member_sql('test', 'test_cases'))},
+      inputs_a AS (SELECT record_id, pos, {opened(member_sql('e', 'inputs'))} AS i FROM test_cases),
+      inputs_k AS (SELECT record_id, pos, i, unnest(json_keys(i)) AS k FROM inputs_a WHERE json_type(i) = 'OBJECT'),
+      case_inputs AS (SELECT record_id, pos, k, json_extract(i, '$."' || k || '"') AS e FROM inputs_k),
+      graders AS (SELECT record_id, k, json_extract(grades, '$."' || k || '"') AS g FROM (SELECT record_id, grades, unnest(json_keys(grades)) AS k FROM top WHERE json_type(grades) = 'OBJECT')),
+      {exploded('gradings', 'graders', 'record_id, k', 'g')},
+      {exploded('models', 'top', 'record_id', member_sql('d', 'model_solutions'))},
+      {exploded('attempts', 'models', 'record_id, pos AS model_pos', member_sql('e', 'attempts'))},
+      {exploded('verdicts_all', 'attempts', 'record_id, model_pos, pos AS attempt_pos', member_sql('e', 'verifier_result'))},
+      verdicts AS (SELECT * FROM verdicts_all WHERE NOT (json_type(e) = 'OBJECT' AND len(json_keys(e)) = 0)),
+      {exploded('verdict_cases', 'verdicts', 'record_id, model_pos, attempt_pos, pos AS verdict_pos', member_sql('e', 'test_cases'))}
+"""
+PATH = {
+    "test_cases": ("''", "pos::varchar"), "case_inputs": ("pos::varchar", "k"), "gradings": ("k", "pos::varchar"), "models": ("''", "pos::varchar"), "attempts": ("model_pos::varchar", "pos::varchar"),
+    "verdicts": ("model_pos || '/' || attempt_pos", "pos::varchar"), "verdict_cases": ("model_pos || '/' || attempt_pos || '/' || verdict_pos", "pos::varchar"),
+}
+
+
+def table_sql(tag: str, fields: str) -> str:
+    parent, child = PATH[tag]
+    return f"WITH {NESTED_SQL} SELECT record_id, {parent} AS parent_key, {child} AS child_key, {fields} FROM {tag}"
+
+
+def of_type(name: str, kinds: str, cast: str) -> str:
+    """SQL: a field where it is of one of the JSON types, else null."""
+    return f"CASE WHEN json_type(json_extract(e, '$.{name}')) IN ({kinds}) THEN (e->>'$.{name}')::{cast} END AS {name}"
+
+
+WHOLE, TEXT, REAL = "'BIGINT', 'UBIGINT'", "'VARCHAR'", "'BIGINT', 'UBIGINT', 'DOUBLE'"
+
+
+@query("WITH " + NESTED_SQL + " " + " UNION ALL ".join(f"SELECT record_id, '{tag}' AS child_table, {parent} AS parent_key, {child} AS child_key FROM {tag}" for tag, (parent, child) in PATH.items()))
 def p2_found(spark, sf_dir):
     return nested.found(table(spark, sf_dir, "problem_records"))
 
 
-@query()
+@query(table_sql("test_cases", ", ".join([of_type("case_id", WHOLE, "bigint"), of_type("output_type", TEXT, "varchar"), of_type("tolerance", REAL, "double")])))
+def p2_test_cases(spark, sf_dir):
+    return nested.flattened(table(spark, sf_dir, "problem_records"), "test_cases").select("record_id", "parent_key", "child_key", "case_id", "output_type", "tolerance")
+
+
+@query(table_sql("case_inputs", "json_type(e) AS kind, CASE WHEN json_type(e) IN ('BIGINT', 'UBIGINT', 'DOUBLE') THEN (e->>'$')::double END AS number"))
+def p2_case_inputs(spark, sf_dir):
+    """Every input of a test case with its JSON type and, if it is one, its number."""
+    inputs = nested.flattened(table(spark, sf_dir, "problem_records"), "case_inputs")
+    v = F.col("value")
+    number = v.rlike(r"^-?\d+(\.\d+)?([eE][-+]?\d+)?$")
+    kind = F.when(v.startswith("{"), "OBJECT").when(v.startswith("["), "ARRAY").when(v.startswith('"'), "VARCHAR").when(v == "null", "NULL").when(v.isin("true", "false"), "BOOLEAN").when(v.rlike(r"^-\d+$"), "BIGINT").when(v.rlike(r"^\d+$"), "UBIGINT").otherwise("DOUBLE")
+    return inputs.select("record_id", "parent_key", "child_key", kind.alias("kind"), F.when(number, v.cast("double")).alias("number"))
+
+
+@query(table_sql("gradings", ", ".join([of_type("index", WHOLE, "bigint"), of_type("timestamp", TEXT, "varchar"), *(of_type(n, WHOLE, "bigint") for n in ("problem_quality", "solution_completeness", "solution_quality", "test_case_quality", "seed_correspondence", "output_seed_correspondence")), of_type("problem_quality_comment", TEXT, "varchar")])))
 def p2_gradings(spark, sf_dir):
-    return nested.typed(nested.emit(table(spark, sf_dir, "problem_records")), "gradings")
+    return nested.flattened(table(spark, sf_dir, "problem_records"), "gradings").select("record_id", "parent_key", "child_key", "index", "timestamp", "problem_quality", "solution_completeness", "solution_quality", "test_case_quality", "seed_correspondence", "output_seed_correspondence", "problem_quality_comment")
+
+
+@query(table_sql("models", of_type("model", TEXT, "varchar")))
+def p2_models(spark, sf_dir):
+    return nested.flattened(table(spark, sf_dir, "problem_records"), "models").select("record_id", "parent_key", "child_key", "model")
+
+
+@query(table_sql("attempts", ", ".join(of_type(n, TEXT, "varchar") for n in ("timestamp", "prompt_type", "detailed_solution"))))
+def p2_attempts(spark, sf_dir):
+    return nested.flattened(table(spark, sf_dir, "problem_records"), "attempts").select("record_id", "parent_key", "child_key", "timestamp", "prompt_type", "detailed_solution")
+
+
+@query(table_sql("verdicts", ", ".join([of_type("verified", WHOLE, "bigint"), of_type("error", TEXT, "varchar"), of_type("timestamp", TEXT, "varchar")])))
+def p2_verdicts(spark, sf_dir):
+    return nested.flattened(table(spark, sf_dir, "problem_records"), "verdicts").select("record_id", "parent_key", "child_key", "verified", "error", "timestamp")
+
+
+@query(table_sql("verdict_cases", ", ".join([of_type("standard_output", TEXT, "varchar"), "(e->>'$.matches')::boolean AS matches", of_type("tolerance_used", REAL, "double")])))
+def p2_verdict_cases(spark, sf_dir):
+    return nested.flattened(table(spark, sf_dir, "problem_records"), "verdict_cases").select("record_id", "parent_key", "child_key", "standard_output", "matches", "tolerance_used")
 
 
 @query()
 def output_type_audit(spark, sf_dir):
-    found = nested.typed(nested.emit(table(spark, sf_dir, "problem_records")), "test_cases").where("output_type is not null")
+    found = nested.flattened(table(spark, sf_dir, "problem_records"), "test_cases").where("output_type is not null")
     return verdicts.output_types(found)
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +15,7 @@ LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.shuffle.partitions": "8",
     "spark.sql.adaptive.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -34,17 +37,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in spark.checkpoint.dir.
 
-    Only where the setting is missing (tests on one machine) a local folder takes its place.
+    Only in a local session that names none (tests) a temporary folder takes its place; on a
+    cluster a missing setting is an error, for each executor would write to its own disk.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if not named:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = "file://" + os.path.join(tempfile.gettempdir(), f"sievework-{context.applicationId}")
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(named)
     return named
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted when the session's process ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and go on from there (reliable checkpoint)."""
     shared_dir(df.sparkSession)
