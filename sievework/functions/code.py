@@ -76,11 +76,35 @@ def string_keys(code: str | None, arg: str) -> list[str]:
 
 def documented_values(doc: str | None, arg: str) -> list[str] | None:
     """Values a docstring lists for an argument ("one of 'a', 'b'", "'a' or 'b'"), None if it lists none."""
-    line = re.search(rf"\b{re.escape(arg)}\b[^\n]*", doc or "")
-    if not line or not re.search(r"one of|either|\bor\b|must be|\{", line.group()):
-        return None
-    values = list(dict.fromkeys(re.findall(r"['\"]([^'\"\n]+)['\"]", line.group())))
-    return values or None
+    text, quoted = doc or "", r"['\"]([^'\"\n]+)['\"]"
+    run = rf"\{{?\s*{quoted}(?:\s*(?:,|or|,\s*or)\s*{quoted})*"
+    places = [rf"\b{re.escape(arg)}\b[^.]*?(?:one of|either|must be|values?:|:)\s*({run})", rf"\b(?:can be |must be )?one of:?\s*({run})"]
+    for place in places:
+        found = re.search(place, text, re.IGNORECASE)
+        if found:
+            return list(dict.fromkeys(re.findall(quoted, found.group(1))))
+    return None
+
+
+def arguments(code: str | None) -> list[str]:
+    """Names of the first function's arguments, [] where there is none."""
+    try:
+        tree = ast.parse(code or "")
+    except (SyntaxError, ValueError):
+        return []
+    head = next((n for n in ast.walk(tree) if isinstance(n, ast.FunctionDef)), None)
+    return [a.arg for a in head.args.args] if head else []
+
+
+def argument_types(code: str | None) -> dict[str, str]:
+    """argument -> the name of its type, for annotated arguments of the first function; Optional[T] is T."""
+    try:
+        tree = ast.parse(code or "")
+    except (SyntaxError, ValueError):
+        return {}
+    head = next((n for n in ast.walk(tree) if isinstance(n, ast.FunctionDef)), None)
+    found = {a.arg: ast.unparse(a.annotation) for a in head.args.args if a.annotation} if head else {}
+    return {name: re.sub(r"^Optional\[(.*)\]$", r"\1", kind).split("[")[0].split(".")[-1] for name, kind in found.items()}
 
 
 def coerced(value: object, kind: str) -> object:

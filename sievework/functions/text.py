@@ -11,7 +11,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-SECTIONS = ("Problem Statement", "Solution", "Answer Requirements", "Answer", "Code")
+#: Titles of sections and what they are kept as.
+TITLES = {"Problem": "Problem Statement", "Problem Statement": "Problem Statement", "Problem Description": "Problem Description", "Answer Requirements": "Answer Requirements", "Solution": "Solution", "Answer": "Answer", "Code": "Code"}
+#: Sections of the older form, by letter.
+LETTERED = {"A": "Problem", "B": r"Answer\s*Requirements", "C": "Solution", "D": "Answer", "E": "Code"}
 FENCE = r"(?s)```python\s*\n(.*?)```"
 PYTHON_ENV = r"(?s)\\begin\{python\}(.*?)\\end\{python\}"
 
@@ -21,18 +24,48 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
+def modern(raw: Column) -> Column:
+    """Headings of the older form, "A) Problem" with or without marks around, as ``\\section{Problem}``; only in text without sections."""
+    known = "|".join(TITLES)
+    out = raw
+    for letter, title in LETTERED.items():
+        heading = rf"(?md)^[#*\s]*(?:\\section\{{)?{letter}\)\s*(?:\\textbf\{{)?\s*{title}[}}*\s]*:?[ \t]*$"
+        out = F.regexp_replace(out, heading, "\\\\section{" + title.replace(r"\s*", " ") + "}")
+    return F.when(raw.rlike(rf"\\section\*?\{{\s*(?:{known})\s*\}}"), raw).otherwise(out)
+
+
 def sections(raw: Column) -> Column:
-    """map<title, content> of text in ``\\section{Title}`` form; the last of equal titles wins.
+    """map<title, content> of text in ``\\section{Title}`` form, or the older lettered one; the last of equal titles wins.
 
-    Text without a section is the problem statement; a null gives a null.
+    Only known titles begin a section; other headings at the end of a line and fence lines are
+    left out of the content. Text without a section is the problem statement; a null gives a null.
     """
-    parts = F.slice(F.split(raw, r"\\section\*?\{"), 2, 100000)
-    pairs = F.transform(parts, lambda p: F.struct(F.trim(F.substring_index(p, "}", 1)).alias("title"), strip(F.regexp_replace(F.regexp_replace(p, r"(?s)^[^}]*\}[^\n]*\n?", ""), r"(?m)^```\w*\s*$", "")).alias("content")))
+    titles = "|".join(TITLES)
+    parts = F.slice(F.split(modern(raw), rf"\\section\*?\{{(?=\s*(?:{titles})\s*\}})"), 2, 100000)
+    name = F.create_map(*(F.lit(x) for pair in TITLES.items() for x in pair))
+
+    def content(p: Column) -> Column:
+        body = F.regexp_replace(p, r"(?s)^[^}]*\}[^\n]*\n?", "")
+        return strip(F.regexp_replace(F.regexp_replace(body, r"(?md)\\section\{[^}]+\}\s*$", ""), r"(?md)^```\w*\s*$", ""))
+
+    pairs = F.transform(parts, lambda p: F.struct(F.element_at(name, F.trim(F.substring_index(p, "}", 1))).alias("title"), content(p).alias("content")))
     last = F.aggregate(pairs, F.create_map().cast("map<string,string>"), lambda m, p: F.map_concat(F.map_filter(m, lambda k, v: k != p["title"]), F.create_map(p["title"], p["content"])))
     whole = F.create_map(F.lit("Problem Statement"), strip(raw))
     return F.when(raw.isNull(), None).when(F.size(parts) > 0, last).otherwise(whole)
 
 
+def first_subsection(code: Column) -> Column:
+    """Code up to the second ``\\subsection{...}``, without the first's heading; all of it without any."""
+    parts = F.split(code, r"\\subsection\{[^}]+\}")
+    return F.when(F.size(parts) > 1, strip(F.element_at(parts, 2))).otherwise(code)
+
+
+def first_code(text: Column) -> Column:
+    """Code of the first python environment, else of the first fence, '' without either."""
+    env = first_env(text)
+    return F.when(env != "", env).otherwise(first_fence(text))
+
+
 def first_fence(text: Column) -> Column:
     """Code of the first python fence, '' without one."""
     return F.regexp_replace(F.regexp_extract(text, FENCE, 1), r"^\n+", "")
@@ -77,11 +110,14 @@ def docstring(code: Column) -> Column:
     return F.when(a != "", a).otherwise(b)
 
 
+#: How a docstring states the size of a tuple, of the argument's own first.
+TUPLE_FORMS = (r"{name}[^.]*?(\d+)[-\s]*element[^\s]*\s*tuple", r"{name}[^.]*?tuple[^.]*?(\d+)[-\s]*element", r"tuple[^.]*?(\d+)[-\s]*element", r"(\d+)[-\s]*element[^\s]*\s*tuple")
+
+
 def tuple_size(doc: Column, arg: str) -> Column:
     """The size a docstring gives for a tuple argument, null if it gives none."""
-    name = re.escape(arg)
-    found = [F.regexp_extract(doc, p, 1) for p in (rf"{name}[^\n]*?tuple of (\d+)", rf"{name}[^\n]*?(\d+)-tuple", rf"{name}[^\n]*?length (\d+)", rf"{name}[^\n]*?(\d+) (?:elements|components)")]
-    return F.coalesce(*(F.when(x != "", x.cast("int")) for x in found))
+    found = [F.regexp_extract(doc, "(?i)" + p.format(name=re.escape(arg)), 1) for p in TUPLE_FORMS]
+    return F.coalesce(*(F.when(x != "", x.try_cast("int")) for x in found))
 
 
 def first_object(text: str | None) -> str | None:
@@ -117,14 +153,16 @@ def object_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def repaired(text: str | None) -> str | None:
-    """JSON text cut after its last complete top value; null if there is none."""
+    """JSON text cut after its first complete value, what is not finite in it as null; null if there is none."""
     if not text:
         return None
+    odd: list[str] = []
     try:
-        _, end = json.JSONDecoder().raw_decode(text.lstrip())
-        return text.lstrip()[:end]
-    except ValueError:
+        value, end = json.JSONDecoder(parse_constant=odd.append).raw_decode(text.lstrip())
+    except (ValueError, RecursionError):
         return None
+    # the constants are None in ``value`` already: append returns nothing
+    return json.dumps(value, ensure_ascii=False) if odd else text.lstrip()[:end]
 
 
 @F.pandas_udf(StringType())
@@ -199,6 +237,13 @@ def wrapped(text: str | None, width: int = 85) -> str | None:
     return "\n".join(line[k : k + width] for line in text.split("\n") for k in range(0, max(1, len(line)), width))
 
 
+@F.pandas_udf(StringType())
+def wrapped_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """``wrapped`` as a column function."""
+    for batch in batches:
+        yield batch.map(wrapped)
+
+
 @F.pandas_udf(StringType())
 def escaped_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for batch in batches:

@@ -28,16 +28,17 @@ def distribute(counts: DataFrame, topics: DataFrame, level: str, level_order: st
     A level without topics loses its count; ids follow level order, then turn.
     """
     ranked = topics.withColumn("_slot", F.row_number().over(Window.partitionBy(level).orderBy(topic_order)) - 1).withColumn("_size", F.count(F.lit(1)).over(Window.partitionBy(level)))
-    wanted = counts.where("n > 0").select(level, level_order, F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1)).alias("_turn"))
-    placed = wanted.join(ranked.select(level, topic, "_slot", "_size"), level).where(F.pmod("_turn", "_size") == F.col("_slot"))
-    before = Window.partitionBy().orderBy(level_order, "_turn")
-    return placed.select(level, topic, (F.row_number().over(before) + start - 1).cast("bigint").alias("problem_no"))
+    # each turn meets its own topic only; levels without topics drop out here
+    sized = counts.where("n > 0").join(ranked.where("_slot = 0").select(level, "_size"), level)
+    turns = sized.select(level, level_order, "_size", F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1)).alias("_turn"))
+    placed = turns.withColumn("_slot", F.pmod("_turn", "_size").cast("int")).join(ranked.select(level, topic, "_slot"), [level, "_slot"])
+    return numbered(placed, [level_order, "_turn"], "problem_no", start).select(level, topic, "problem_no")
 
 
 def assign_requested(requested: DataFrame, assigned: DataFrame, topic: str, order: str, start: int = 1) -> DataFrame:
     """One number per requested topic that has none, on from ``start``."""
     new = requested.join(assigned.select(topic).distinct(), topic, "left_anti")
-    return new.select(topic, (F.row_number().over(Window.partitionBy().orderBy(order)) + start - 1).cast("bigint").alias("problem_no"))
+    return numbered(new, [order], "problem_no", start).select(topic, "problem_no")
 
 
 def unknown_ids(requested: DataFrame, known: DataFrame, key: str) -> DataFrame:
@@ -56,6 +57,12 @@ def totals(assignment: DataFrame, key: str, target: int) -> DataFrame:
     return got.withColumn("to_add", F.greatest(F.lit(target) - F.col("assigned"), F.lit(0)).cast("bigint"))
 
 
+def preview(df: DataFrame, key: str, rows: int = 5, seed: int = 1) -> DataFrame:
+    """A few rows to look at, the same on every run: by a hash of seed and key."""
+    drawn = F.md5(F.concat_ws(":", F.lit(seed), F.col(key).cast("string")))
+    return df.withColumn("_h", drawn).orderBy("_h", key).limit(rows).drop("_h")
+
+
 def first_match(left: DataFrame, right: DataFrame, key: str, order: str) -> DataFrame:
     """Inner join on the first row of ``right`` per key; rows without a match are left out."""
     others = [c for c in right.columns if c != key]

@@ -10,6 +10,7 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 TOLERANCE = 1e-6
 
@@ -36,6 +37,36 @@ def finite_text(value: Column) -> Column:
     return F.when(~F.lower(value).isin("inf", "-inf", "nan", "infinity", "-infinity"), value)
 
 
+NOT_FINITE = frozenset(("inf", "-inf", "nan", "infinity", "-infinity"))
+
+
+def scrubbed(value: Any) -> Any:
+    """A nested value with null for numbers that are not finite and strings that only name one, at every depth."""
+    if isinstance(value, dict):
+        return {k: scrubbed(v) for k, v in value.items()}
+    if isinstance(value, (list, tuple)):
+        return [scrubbed(v) for v in value]
+    if hasattr(value, "tolist"):
+        return scrubbed(value.tolist())
+    if isinstance(value, float) and not math.isfinite(value):
+        return None
+    return None if isinstance(value, str) and value.lower() in NOT_FINITE else value
+
+
+@F.pandas_udf(StringType())
+def scrubbed_json(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """JSON text scrubbed; null for text that is no JSON."""
+
+    def one(text: str | None) -> str | None:
+        try:
+            return None if text is None else json.dumps(scrubbed(json.loads(text)), ensure_ascii=False)
+        except (ValueError, RecursionError):
+            return None
+
+    for batch in batches:
+        yield batch.map(one)
+
+
 def number_of(value: Any) -> complex | None:
     """A number, or a string that names one (i stands for j); None for anything else."""
     if isinstance(value, (bool, int, float, complex)):

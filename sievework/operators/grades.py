@@ -28,6 +28,12 @@ def first_model_last_grade(grades: DataFrame, problem: str, model: str, model_or
     return mine.groupBy(problem).agg(F.max_by(F.struct(*others), F.struct(*grade_order)).alias("_g")).select(problem, "_g.*")
 
 
+def document_grade(gradings: Column, legacy: Column) -> Column:
+    """The last grade in the list of the first model (document order) that has any, else the older flat grade."""
+    lists = F.filter(F.map_values(gradings), lambda g: F.coalesce(F.size(g), F.lit(0)) > 0)
+    return F.coalesce(F.try_element_at(F.try_element_at(lists, F.lit(1)), F.lit(-1)), legacy)
+
+
 def passes(metrics: Sequence[str], threshold: float, optional: Column | None = None) -> Column:
     """All metrics there and at least int(threshold x 100); ``optional`` must too where it is present."""
     least = F.lit(int(threshold * 100))
@@ -35,14 +41,19 @@ def passes(metrics: Sequence[str], threshold: float, optional: Column | None = N
     return ok if optional is None else ok & optional
 
 
-def only_failing(grades: DataFrame, problem: str, grader: str, metric: str, threshold: int, others: Sequence[str] = METRICS) -> DataFrame:
-    """Problems of which some latest grade is low on ``metric`` and none on any other; missing scores are skipped."""
+def only_failing(grades: DataFrame, problem: str, grader: str, metric: str, threshold: int, others: Sequence[str] = METRICS, required: Sequence[str] | None = None) -> DataFrame:
+    """Problems of which some latest grade is low on ``metric`` and none on any other; missing scores are skipped.
+
+    With ``required`` only these graders count, and all of them must have graded the problem.
+    """
+    if required is not None:
+        grades = grades.where(F.col(grader).isin(*required))
     low = {m: F.coalesce(F.col(m) < threshold, F.lit(False)) for m in others}
     rest = F.lit(False)
     for m in others:
         if m != metric:
             rest = rest | low[m]
-    return grades.groupBy(problem).agg(F.count_if(low[metric]).alias("low_here"), F.count_if(rest).alias("low_elsewhere"), F.count(F.lit(1)).alias("graders")).where("low_here > 0 and low_elsewhere = 0")
+    return grades.groupBy(problem).agg(F.count_if(low[metric]).alias("low_here"), F.count_if(rest).alias("low_elsewhere"), F.count(F.lit(1)).alias("graders"), F.count_distinct(grader).alias("_d")).where(f"low_here > 0 and low_elsewhere = 0 and _d >= {len(required or ())}").drop("_d")
 
 
 def comments(grades: DataFrame, problem: str, grader: str, metrics: Sequence[str] = ("problem_quality",)) -> DataFrame:

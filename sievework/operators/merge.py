@@ -55,8 +55,8 @@ def zipped(*arrays: Column) -> Column:
 
 
 def attach_verdicts(attempts: DataFrame, results: DataFrame, keys: Sequence[str], value: str, order: str) -> DataFrame:
-    """Each result goes to the first attempt of its key; attempts without one keep what they have."""
-    once = results.groupBy(*keys).agg(F.first(value, ignorenulls=True).alias("_new"))
+    """Each key's first result by ``order`` goes to the first attempt of the key; attempts without one keep what they have."""
+    once = results.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.min_by(value, order).alias("_new"))
     first = F.row_number().over(Window.partitionBy(*keys).orderBy(order)) == 1
     joined = attempts.withColumn("_first", first).join(once, list(keys), "left")
     old = F.col(value) if value in attempts.columns else F.lit(None).cast(results.schema[value].dataType)
@@ -82,5 +82,11 @@ def rewrite(spark: SparkSession, path: str, new: DataFrame) -> None:
 
 
 def append_log(log: DataFrame, path: str, keys: Sequence[str] = ()) -> None:
-    """Appends to a log table; rows of equal keys in one batch once."""
-    (log.dropDuplicates(list(keys)) if keys else log).write.mode("append").parquet(path)
+    """Appends to a log table; with ``keys`` each key is logged once, whatever the log holds already."""
+    spark = log.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if keys:
+        log = log.dropDuplicates(list(keys))
+        if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+            log = log.join(spark.read.parquet(path).select(*keys), list(keys), "left_anti")
+    log.write.mode("append").parquet(path)

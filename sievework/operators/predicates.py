@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievework.functions.text import strip
+
 #: Prefixes of model names that are served by an interface, and by which family.
 FAMILIES = {"openai": ("chatgpt", "gpt-", "o1", "o3", "o4"), "deepseek": ("deepseek",), "claude": ("claude",), "gemini": ("gemini",), "moonshot": ("moonshotai",), "grok": ("grok",)}
 LOCAL_PREFIX = "deepseek-ai/DeepSeek-R1-Distill"
@@ -69,8 +71,8 @@ def lacks_tests(test: Column, force: bool = False, update: bool = False) -> Colu
 
 
 def valid_pairs(pairs: DataFrame, problem: str = "problem", solution: str = "solution") -> DataFrame:
-    """Pairs of which both texts have content."""
-    return pairs.where((F.length(F.trim(F.col(problem))) > 0) & (F.length(F.trim(F.col(solution))) > 0))
+    """Pairs of which both texts have content; white space of any kind is none."""
+    return pairs.where((F.length(strip(F.col(problem))) > 0) & (F.length(strip(F.col(solution))) > 0))
 
 
 def with_status(df: DataFrame, ok: Column, failed: str, status: str = "status") -> DataFrame:

@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 
 from sievework.functions import code as C
 from sievework.functions import sandbox
-from sievework.functions.text import first_object
+from sievework.functions.text import first_object, last_code
 from sievework.operators.compare import TOLERANCE, alike, parsed
+from sievework.plans import prompts
+from sievework.plans.providers import Provider, call
+from sievework.session import cut
 
 CASES = "array<struct<case_id:int,inputs:string>>"
 RESULTS = "array<struct<case_id:int,output:string,output_type:string>>"
@@ -83,7 +86,7 @@ def execute(df: DataFrame, id_col: str, code_col: str, cases_col: str, seconds:
         for frame in frames:
             rows = []
             for i, code, cases in zip(frame["id"], frame["code"], frame["cases"]):
-                got = sandbox.run(code, [parsed(c["inputs"]) for c in (cases if cases is not None else [])], seconds)
+                got = sandbox.run(code, [typed_inputs(parsed(c["inputs"]), code) for c in (cases if cases is not None else [])], seconds)
                 rows.append((i, got["error"], [{"case_id": int(c["case_id"]), "output": json.dumps(r["output"]), "output_type": r["type"]} for c, r in zip(cases if cases is not None else [], got["results"])]))
             yield pd.DataFrame(rows, columns=["id", "error", "results"])
 
@@ -91,6 +94,51 @@ def execute(df: DataFrame, id_col: str, code_col: str, cases_col: str, seconds:
     return spread(source).mapInPandas(run, f"id {df.schema[id_col].dataType.simpleString()}, error string, results {RESULTS}").withColumnRenamed("id", id_col)
 
 
+def typed_inputs(inputs: object, code: str | None) -> dict:
+    """Inputs as the types of the function's arguments, those that cannot be converted as they are; none if they are no object."""
+    kinds = C.argument_types(code)
+    if not isinstance(inputs, dict):
+        return {}
+    return {name: C.jsonable(C.coerced(value, kinds[name])) if name in kinds and value is not None else value for name, value in inputs.items()}
+
+
+def repair(df: DataFrame, provider: Provider, model: str, id_col: str = "problem_id", code_col: str = "code", cases_col: str = "cases", reviews_col: str | None = None, rounds: int = 3) -> DataFrame:
+    """(id, code, error, results, repairs): code run on its cases; where that fails a model corrects it, ``rounds`` times at most.
+
+    Code that runs is never sent; with ``reviews_col`` (an array of comments) all is sent once, with them.
+    """
+    reviews = F.col(reviews_col) if reviews_col else F.lit(None).cast("array<string>")
+    now = df.select(F.col(id_col).alias("id"), F.col(code_col).alias("code"), F.col(cases_col).cast(CASES).alias("cases"), reviews.alias("reviews"))
+    out: DataFrame | None = None
+    for turn in range(rounds + 1):
+        ran = execute(now, "id", "code", "cases")
+        held = cut(now.join(ran, "id").withColumn("repairs", F.lit(turn)))
+        wanted = F.col("error").isNotNull() | ((F.lit(turn) == 0) & (F.coalesce(F.size("reviews"), F.lit(0)) > 0))
+        done = held if turn == rounds else held.where(~wanted)
+        done = done.select("id", "code", "error", "results", "repairs")
+        out = done if out is None else out.unionByName(done)
+        if turn == rounds:
+            break
+        asked = held.where(wanted).select("id", "code", "cases", "reviews", prompts.repair(F.col("code"), F.col("error"), F.col("reviews")).alias("prompt"), F.lit(model).alias("model"))
+        if asked.isEmpty():
+            break
+        said = call(asked, provider, "prompt", "model", out="response")
+        now = cut(said.select("id", F.coalesce(last_code(F.col("response")), F.col("code")).alias("code"), "cases", "reviews"))
+    return out.withColumnRenamed("id", id_col)
+
+
+def updated_outputs(df: DataFrame, id_col: str, code_col: str, cases_col: str) -> DataFrame:
+    """(id, error, cases): each case with the output its code gives now; cases stay as they are where the code fails.
+
+    ``cases_col``: array<struct<case_id, inputs, output, output_type>>.
+    """
+    bare = df.withColumn(cases_col, F.transform(cases_col, lambda c: F.struct(c["case_id"].alias("case_id"), c["inputs"].alias("inputs"))))
+    ran = execute(bare, id_col, code_col, cases_col)
+    new = F.transform("cases", lambda c: F.struct(c["case_id"].alias("case_id"), c["inputs"].alias("inputs"), *(F.coalesce(F.try_element_at(F.filter("results", lambda r: r["case_id"] == c["case_id"]), F.lit(1))[x], c[x]).alias(x) for x in ("output", "output_type"))))
+    both = df.select(F.col(id_col).alias("id"), F.col(cases_col).alias("cases")).join(ran.withColumnRenamed(id_col, "id"), "id")
+    return both.select(F.col("id").alias(id_col), "error", F.when(F.col("error").isNull(), new).otherwise(F.col("cases")).alias("cases"))
+
+
 def grade(df: DataFrame, keys: list[str], standard_col: str, attempt_col: str, cases_col: str, seconds: float = 12.0, tolerance: float = TOLERANCE) -> DataFrame:
     """keys, verified (1, 0), error, matches per case: the attempt's function against the standard one's.
 
@@ -102,7 +150,7 @@ def grade(df: DataFrame, keys: list[str], standard_col: str, attempt_col: str, c
             known: dict[tuple, dict] = {}
             verified, errors, matches = [], [], []
             for standard, attempt, cases in zip(frame["_s"], frame["_a"], frame["_c"]):
-                inputs = [parsed(c["inputs"]) for c in (cases if cases is not None else [])]
+                inputs = [typed_inputs(parsed(c["inputs"]), standard) for c in (cases if cases is not None else [])]
                 at = (standard, json.dumps(inputs))
                 if at not in known:
                     known[at] = sandbox.run(standard, inputs, seconds)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions.text import escaped, escaped_text, report_text
+from sievework.operators import verdicts
+from sievework.sources.sinks import write_text
 
 HEAD = "\\documentclass{article}\n\\usepackage{amsmath,booktabs}\n\\begin{document}\n"
 TAIL = "\\end{document}\n"
@@ -41,3 +45,25 @@ def selected_attempts(attempts: DataFrame, n: int | None = None, correct_only: b
     rate = kept.groupBy("problem_key", "model").agg(F.coalesce(F.avg(F.when(F.col("verified") == 1, 1.0).otherwise(0.0)), F.lit(0.0)).alias("accuracy"))
     kept = kept.where("verified = 1") if correct_only else kept
     return kept.join(rate, ["problem_key", "model"]).orderBy("problem_key", F.desc("accuracy"), "model", "attempt_ord")
+
+
+def evaluation(attempts: DataFrame, problems: DataFrame, n: int | None = None, models: Sequence[str] = (), pivot: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """Title -> table of a report, from attempts (problem_key, model, level, attempt_ord, verified).
+
+    ``models`` chooses what is shown, not what is counted; ``pivot`` names two models to set side by side.
+    """
+    kept = attempts if n is None else attempts.where(F.col("attempt_ord") <= n)
+    shown = lambda df: df.where(F.col("model").isin(*models)) if models else df
+    tables = {"Verdicts by model": shown(verdicts.verification_metrics(kept)).orderBy("model"), "Best of n by model": shown(verdicts.best_of_n(kept)).orderBy("model")}
+    by_level = kept.groupBy("level", "model").agg(F.avg("verified").alias("mean_score"), F.count_distinct("problem_key").alias("sample_size"))
+    tables["Models by level"] = shown(by_level).orderBy(*verdicts.level_order(F.col("level")), "model")
+    if len(pivot) == 2:
+        tables["Problems by model"] = verdicts.per_problem_pivot(kept, pivot).orderBy("problem_key")
+    return tables
+
+
+def write_report(tables: dict[str, DataFrame], sections: DataFrame | None, path: str) -> None:
+    """The report's tables as one document, and problem sections (any number) beside it, written where the rows are."""
+    write_text(document(tables), path)
+    if sections is not None:
+        sections.select("section").write.mode("overwrite").text(path.rsplit(".", 1)[0] + "_problems")

@@ -166,9 +166,12 @@ def status_routing(spark, sf_dir):
     return qc_filter(spark, sf_dir).groupBy("status").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("problem_key").alias("problems"))
 
 
-@query(f"WITH {LATEST_SQL} SELECT problem_key, count(*) FILTER (test_case_quality < 80) AS low_here, count(*) FILTER (problem_quality < 80 OR solution_completeness < 80 OR solution_quality < 80) AS low_elsewhere, count(*) AS graders FROM latest GROUP BY 1 HAVING low_here > 0 AND low_elsewhere = 0")
+REQUIRED = ("orbis-large", "lumen-9b")
+
+
+@query(f"WITH {LATEST_SQL} SELECT problem_key, count(*) FILTER (test_case_quality < 60) AS low_here, count(*) FILTER (problem_quality < 60 OR solution_completeness < 60 OR solution_quality < 60) AS low_elsewhere, count(*) AS graders FROM latest WHERE grader_id IN {REQUIRED} GROUP BY 1 HAVING low_here > 0 AND low_elsewhere = 0 AND count(DISTINCT grader_id) = {len(REQUIRED)}")
 def test_case_only_failures(spark, sf_dir):
-    return grades.only_failing(latest_of(spark, sf_dir), "problem_key", "grader_id", "test_case_quality", 80)
+    return grades.only_failing(latest_of(spark, sf_dir), "problem_key", "grader_id", "test_case_quality", 60, required=REQUIRED)
 
 
 @query(f"WITH {LATEST_SQL} SELECT problem_key, grader_id, 'problem_quality' AS metric, problem_quality AS score, problem_quality_comment AS comment FROM latest WHERE trim(problem_quality_comment) <> ''")
@@ -222,9 +225,9 @@ def distribute_problems(spark, sf_dir):
     return distributed(spark, sf_dir)
 
 
-@query("WITH have AS (SELECT DISTINCT topic_entry_id FROM problem_metadata WHERE topic_entry_id IS NOT NULL AND problem_key % 7 = 3) SELECT topic_entry_id, row_number() OVER (ORDER BY topic_entry_id) + 1000 AS problem_no FROM topics ANTI JOIN have USING (topic_entry_id)")
+@query("WITH have AS (SELECT DISTINCT topic_entry_id FROM problem_metadata WHERE topic_entry_id IS NOT NULL) SELECT topic_entry_id, row_number() OVER (ORDER BY topic_entry_id) + 1000 AS problem_no FROM topics ANTI JOIN have USING (topic_entry_id)")
 def assign_topics(spark, sf_dir):
-    have = table(spark, sf_dir, "problem_metadata").where("topic_entry_id is not null and problem_key % 7 = 3")
+    have = table(spark, sf_dir, "problem_metadata").where("topic_entry_id is not null")
     return allocate.assign_requested(table(spark, sf_dir, "topics").select("topic_entry_id"), have, "topic_entry_id", "topic_entry_id", 1001)
 
 
@@ -256,11 +259,17 @@ def unknown_topics(spark, sf_dir):
     return allocate.unknown_ids(table(spark, sf_dir, "documents").where("topic_entry_id is not null"), known, "topic_entry_id")
 
 
-@query("""WITH h AS (SELECT pair_id, md5(coalesce(arxiv_id, '') || ':' || coalesce(problem, '')) AS pair_hash, trim(coalesce(problem, '')) <> '' AND trim(coalesce(solution, '')) <> '' AS ok FROM matched_pairs)
-  SELECT pair_id, pair_hash FROM h WHERE ok AND pair_hash NOT IN (SELECT pair_hash FROM h WHERE pair_id % 3 = 0)""")
+#: White space of any kind, as the inside of a class of SQL's regular expressions.
+SPACE = r"\t\n\x{0B}\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+
+
+@query(f"""WITH h AS (SELECT pair_id, harvested_at, md5(coalesce(arxiv_id, '') || ':' || coalesce(problem, '')) AS pair_hash, regexp_matches(problem, '[^{SPACE}]') AND regexp_matches(solution, '[^{SPACE}]') AS ok FROM matched_pairs)
+  SELECT pair_id, pair_hash FROM h WHERE ok AND harvested_at >= '2025-01-01' AND pair_hash NOT IN (SELECT pair_hash FROM h WHERE harvested_at < '2025-01-01' OR harvested_at IS NULL)""")
 def seed_pair_anti_join(spark, sf_dir):
+    """Valid pairs of the new harvest that no earlier one brought."""
     pairs = table(spark, sf_dir, "matched_pairs").withColumn("pair_hash", T.pair_hash(F.col("arxiv_id"), F.col("problem")))
-    return allocate.remaining(predicates.valid_pairs(pairs).select("pair_id", "pair_hash"), pairs.where("pair_id % 3 = 0"), "pair_hash").select("pair_id", "pair_hash")
+    new = F.coalesce(F.col("harvested_at") >= "2025-01-01", F.lit(False))
+    return allocate.remaining(predicates.valid_pairs(pairs.where(new)).select("pair_id", "pair_hash"), pairs.where(~new), "pair_hash").select("pair_id", "pair_hash")
 
 
 @query("""WITH u AS (SELECT 'example' AS kind, pair_id FROM matched_pairs WHERE seed_type = 'example' UNION ALL SELECT 'matched', pair_id FROM matched_pairs WHERE seed_type = 'matched')
@@ -361,17 +370,25 @@ def resume_work(spark, sf_dir):
 
 # --- text -------------------------------------------------------------------------
 
-SECTIONED = "'\\section{Problem Statement}' || chr(10) || coalesce(problem, '') || chr(10) || '\\section{Answer}' || chr(10) || pair_id || chr(10) || '\\section{Answer}' || chr(10) || (pair_id + 1)"
+#: Sections of a text in SQL: from each known heading to the next, the last of equal titles.
+SECTIONS_SQL = rf"""
+  parts AS (SELECT pair_id, k, part FROM (SELECT pair_id, unnest(string_split_regex(raw, '\\section\*?\{{')) AS part, unnest(range(1, len(string_split_regex(raw, '\\section\*?\{{')) + 1)) AS k FROM raws)),
+  marked AS (SELECT pair_id, k, part, trim(split_part(part, '}}', 1)) AS title, k > 1 AND regexp_matches(part, '^\s*({'|'.join(T.TITLES)})\s*\}}') AS begins FROM parts),
+  grouped AS (SELECT *, sum(begins::int) OVER (PARTITION BY pair_id ORDER BY k) AS g FROM marked),
+  joined AS (SELECT pair_id, g, first(title ORDER BY k) AS title, string_agg(CASE WHEN begins THEN regexp_replace(part, '^[^}}]*\}}[^\n]*\n?', '') ELSE '\section{{' || part END, '' ORDER BY k) AS body FROM grouped WHERE g > 0 GROUP BY 1, 2),
+  cleaned AS (SELECT pair_id, g, CASE title WHEN 'Problem' THEN 'Problem Statement' ELSE title END AS title, regexp_replace(regexp_replace(regexp_replace(body, '(?m)\\section\{{[^}}]+\}}\s*$', '', 'g'), '(?m)^```\w*\s*$', '', 'g'), '^[{SPACE}]+|[{SPACE}]+$', '', 'g') AS content FROM joined),
+  sections AS (SELECT pair_id, title, arg_max(content, g) AS content FROM cleaned GROUP BY 1, 2)
+"""
 
 
-@query("SELECT pair_id, trim(coalesce(problem, ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS statement, (pair_id + 1)::varchar AS answer FROM matched_pairs WHERE coalesce(problem, '') NOT LIKE '%\\section%' AND coalesce(problem, '') NOT LIKE '%```%'")
+@query(f"""WITH raws AS (SELECT pair_id, '\\section{{Problem Statement}}' || chr(10) || coalesce(problem, '') || chr(10) || '\\section{{Answer}}' || chr(10) || pair_id || chr(10) || '\\section{{Answer}}' || chr(10) || (pair_id + 1) AS raw FROM matched_pairs), {SECTIONS_SQL}
+  SELECT p.pair_id, s.content AS statement, a.content AS answer FROM matched_pairs p LEFT JOIN sections s ON s.pair_id = p.pair_id AND s.title = 'Problem Statement' LEFT JOIN sections a ON a.pair_id = p.pair_id AND a.title = 'Answer'""")
 def parse_sections(spark, sf_dir):
-    pairs = table(spark, sf_dir, "matched_pairs").where("coalesce(problem, '') not like '%\\\\\\\\section%' and coalesce(problem, '') not like '%```%'")
-    problem = F.coalesce("problem", F.lit(""))
+    """Sections of every seed problem put under headings; headings and fences of its own are no sections."""
     key = F.col("pair_id").cast("string")
-    raw = F.concat(F.lit("\\section{Problem Statement}\n"), problem, F.lit("\n\\section{Answer}\n"), key, F.lit("\n\\section{Answer}\n"), (F.col("pair_id") + 1).cast("string"))
+    raw = F.concat(F.lit("\\section{Problem Statement}\n"), F.coalesce("problem", F.lit("")), F.lit("\n\\section{Answer}\n"), key, F.lit("\n\\section{Answer}\n"), (F.col("pair_id") + 1).cast("string"))
     parts = T.sections(raw)
-    return pairs.select("pair_id", F.try_element_at(parts, F.lit("Problem Statement")).alias("statement"), F.try_element_at(parts, F.lit("Answer")).alias("answer"))
+    return table(spark, sf_dir, "matched_pairs").select("pair_id", F.try_element_at(parts, F.lit("Problem Statement")).alias("statement"), F.try_element_at(parts, F.lit("Answer")).alias("answer"))
 
 
 @query(r"""SELECT attempt_id, CASE WHEN len(f) > 0 THEN f[-1] ELSE e[-1] END AS code FROM (SELECT attempt_id, regexp_extract_all(detailed_solution, '(?s)```python\s*\n(.*?)```', 1) AS f, regexp_extract_all(detailed_solution, '(?s)\\begin\{python\}(.*?)\\end\{python\}', 1) AS e FROM model_solutions WHERE detailed_solution IS NOT NULL) WHERE len(f) > 0 OR len(e) > 0""")
@@ -432,14 +449,8 @@ def clean_cot(spark, sf_dir):
     return table(spark, sf_dir, "model_solutions").select("attempt_id", T.escaped_text(T.report_text(F.col("detailed_solution"))).alias("latex"))
 
 
-@query("SELECT attempt_id, CASE WHEN regexp_matches(attempt_ts, '[+-]\\d\\d:?\\d\\d$') OR attempt_ts LIKE '%Z' OR regexp_matches(attempt_ts, '^\\d{4}-\\d\\d-\\d\\dT\\d\\d:\\d\\d:\\d\\d$') THEN epoch(try_cast(regexp_replace(attempt_ts, 'Z$', '+00:00') AS timestamptz))::bigint END AS seconds FROM model_solutions WHERE regexp_matches(attempt_ts, '^\\d{4}-\\d\\d-\\d\\dT\\d\\d:\\d\\d:\\d\\d(Z|\\+00:00)?$')")
-def attempt_times(spark, sf_dir):
-    rows = table(spark, sf_dir, "model_solutions").where(F.col("attempt_ts").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(Z|\+00:00)?$"))
-    return rows.select("attempt_id", F.unix_timestamp(T.iso_time(F.col("attempt_ts"))).alias("seconds"))
-
-
 @query("SELECT attempt_id, epoch_us(try_cast(attempt_ts AS timestamptz)) AS micros FROM model_solutions")
-def attempt_times_all(spark, sf_dir):
+def attempt_times(spark, sf_dir):
     """Every attempt's time in microseconds; null where its text cannot be read."""
     return table(spark, sf_dir, "model_solutions").select("attempt_id", F.unix_micros(T.iso_time(F.col("attempt_ts"))).alias("micros"))
 
@@ -572,33 +583,48 @@ def synthesize_cases(spark, sf_dir):
 
 @query()
 def unsafe_operations(spark, sf_dir):
+    """Risks of each record's function by its own arguments."""
+
     @F.pandas_udf("array<string>")
     def risks(batch):
         import pandas as pd
 
-        return pd.Series([[f"{a}:{r}" for a, rs in C.unsafe_operations(code, ["a", "b", *map(chr, range(99, 123))]).items() for r in rs] for code in batch])
+        return pd.Series([[f"{a}:{r}" for a, rs in C.unsafe_operations(code, C.arguments(code)).items() for r in rs] for code in batch])
 
     return record_functions(spark, sf_dir).select("record_id", F.array_join(risks("code"), ",").alias("risks"))
 
 
+def record_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """record_id, problem_key, code and cases made by rule, of every record that has a function."""
+    functions = record_functions(spark, sf_dir)
+    made = cases.synthesize(functions, "record_id", "code").groupBy(F.col("record_id").cast("bigint").alias("record_id")).agg(F.sort_array(F.collect_list(F.struct("case_id", "inputs"))).alias("cases"))
+    return functions.join(made, "record_id").join(table(spark, sf_dir, "problem_records").select("record_id", "problem_key"), "record_id")
+
+
 @query()
 def execute_and_grade(spark, sf_dir):
-    """Every topic's reference function against a right and a wrong attempt, in child processes."""
-    topics = table(spark, sf_dir, "topics").select("topic_entry_id", (F.col("topic_ord") % 5 + 1).cast("string").alias("c"))
-    code = lambda shift: F.concat(F.lit("def f(x: float, y: int) -> float:\n    return x * "), F.col("c"), F.lit(f" + y + {shift}"))
-    tried = topics.select("topic_entry_id", code("0").alias("standard"), F.explode(F.array(code("0.0000001"), code("1"))).alias("attempt"))
-    made = F.array(*(F.struct(F.lit(k).alias("case_id"), F.lit(f'{{"x": {k}.5, "y": {k}}}').alias("inputs")) for k in (1, 2)))
-    return cases.grade(tried.withColumn("cases", made), ["topic_entry_id", "attempt"], "standard", "attempt", "cases").select("topic_entry_id", "attempt", "verified", "error")
+    """Every record's function against itself, and against the code of each solver attempt at its problem, in child processes."""
+    records = record_cases(spark, sf_dir)
+    own = records.select("record_id", F.lit(None).cast("bigint").alias("attempt_id"), "code", F.col("code").alias("attempt"), "cases")
+    found = table(spark, sf_dir, "model_solutions").select("attempt_id", "problem_key", T.last_code(F.col("detailed_solution")).alias("attempt")).where("attempt is not null")
+    tried = own.unionByName(records.join(found, "problem_key").select("record_id", "attempt_id", "code", "attempt", "cases"))
+    return cases.grade(tried, ["record_id", "attempt_id"], "code", "attempt", "cases").select("record_id", "attempt_id", "verified", "error")
+
+
+@query()
+def execute_records(spark, sf_dir):
+    """Every record's function on its own test cases, inputs converted to the types of its arguments."""
+    stored = nested.flattened(table(spark, sf_dir, "problem_records"), "test_cases").groupBy("record_id").agg(F.sort_array(F.collect_list(F.struct(F.col("child_key").cast("int").alias("case_id"), "inputs"))).alias("cases"))
+    ran = cases.execute(record_functions(spark, sf_dir).join(stored, "record_id"), "record_id", "code", "cases")
+    return ran.select("record_id", "error", F.size("results").alias("ran"))
 
 
 @query()
 def solve_loop_stub(spark, sf_dir):
-    """Three attempts at every topic with the offline provider, graded by running them."""
-    topics = table(spark, sf_dir, "topics")
-    statement = F.concat(F.lit("Increase x by one. Topic: "), F.coalesce("topic", F.lit("")))
-    one = F.array(F.struct(F.lit(1).alias("case_id"), F.lit('{"x": 4}').alias("inputs")))
-    right = F.concat(F.lit("def f(x: int) -> int:\n    return x + "), (F.pmod("topic_ord", F.lit(4)) / 3 + 1).cast("int").cast("string"))
-    problems = topics.select(F.col("topic_entry_id").alias("problem_id"), statement.alias("statement"), right.alias("code"), one.alias("cases"))
+    """Two attempts at every record's problem with the offline provider, graded by running them."""
+    statement = F.get_json_object("record_json", "$.problem_details.Problem Statement")
+    texts = table(spark, sf_dir, "problem_records").select("record_id", statement.alias("statement"))
+    problems = record_cases(spark, sf_dir).join(texts, "record_id").select(F.col("record_id").cast("string").alias("problem_id"), "statement", "code", "cases")
     return pipeline.solve(problems, pipeline.Config(max_k=2))
 
 

@@ -43,8 +43,8 @@ def documents(spark: SparkSession, folder: str, recursive: bool = False, pattern
     Files that hold no problem (lists, broken JSON, no problem_id) are left out; text after
     a complete document is cut off. ``status_dir`` is the sub-folder a file lies in.
     """
-    reader = spark.read.option("wholetext", True).option("pathGlobFilter", pattern)
-    files = (reader.option("recursiveFileLookup", True) if recursive else reader).text(folder).select(F.col("_metadata.file_path").alias("file_path"), "value")
+    reader = spark.read.option("pathGlobFilter", pattern)
+    files = (reader.option("recursiveFileLookup", True) if recursive else reader).text(folder, wholetext=True).select(F.col("_metadata.file_path").alias("file_path"), "value")
     text = repaired_text("value") if repair else F.col("value")
     parsed = files.select("file_path", F.from_json(text, DOCUMENT).alias("d"))
     here = folder.rstrip("/").rsplit("/", 1)[-1]
@@ -54,7 +54,7 @@ def documents(spark: SparkSession, folder: str, recursive: bool = False, pattern
 
 def broken_documents(spark: SparkSession, folder: str, pattern: str = "p*.json") -> DataFrame:
     """Paths of problem files that hold no readable document."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).text(folder).select(F.col("_metadata.file_path").alias("file_path"), "value")
+    files = spark.read.option("pathGlobFilter", pattern).text(folder, wholetext=True).select(F.col("_metadata.file_path").alias("file_path"), "value")
     return files.where(F.from_json(repaired_text("value"), "problem_id string")["problem_id"].isNull()).select("file_path")
 
 
@@ -70,7 +70,7 @@ def topics(spark: SparkSession, path: str) -> DataFrame:
                     rows += [(level, level_ord, group, k, e.get("id"), e.get("topic"), e.get("description")) for k, (group, e) in enumerate(flat)]
             yield pd.DataFrame(rows, columns=["level", "level_ord", "subcategory", "topic_ord", "id", "topic", "description"])
 
-    return spark.read.option("wholetext", True).text(path).mapInPandas(run, "level string, level_ord int, subcategory string, topic_ord int, id string, topic string, description string")
+    return spark.read.text(path, wholetext=True).mapInPandas(run, "level string, level_ord int, subcategory string, topic_ord int, id string, topic string, description string")
 
 
 def seed_pairs(spark: SparkSession, base: str) -> DataFrame:
@@ -109,7 +109,7 @@ def processed_hashes(docs: DataFrame) -> DataFrame:
 
 def assignment(spark: SparkSession, path: str) -> DataFrame:
     """(topic_id, problem_no) of a ledger file; entries that are no numbers are left out."""
-    ledger = spark.read.option("wholetext", True).text(path).select(F.explode(F.from_json("value", "map<string,array<string>>")).alias("topic_id", "n"))
+    ledger = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string,array<string>>")).alias("topic_id", "n"))
     return ledger.select("topic_id", F.explode("n").alias("n")).select("topic_id", F.col("n").try_cast("int").alias("problem_no")).where("problem_no is not null")
 
 

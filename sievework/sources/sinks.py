@@ -33,6 +33,25 @@ def export_files(docs: DataFrame, folder: str, name: str = "problem_id") -> None
     docs.select(F.col(name).alias("k"), body.alias("j")).mapInPandas(run, "n bigint").agg(F.sum("n")).collect()
 
 
+def export_texts(texts: DataFrame, folder: str, name: str, text: str, suffix: str = ".json") -> None:
+    """One file per row as its text stands, in sub-folders where names have them; written where the rows are, each by rename."""
+
+    def run(frames):
+        import pandas as pd
+
+        for frame in frames:
+            for key, body in zip(frame["k"], frame["t"]):
+                target = os.path.join(folder, f"{key}{suffix}")
+                os.makedirs(os.path.dirname(target), exist_ok=True)
+                with open(f"{target}.tmp", "w", encoding="utf-8") as f:
+                    f.write(body)
+                os.replace(f"{target}.tmp", target)
+            yield pd.DataFrame({"n": [len(frame)]})
+
+    os.makedirs(folder, exist_ok=True)
+    texts.select(F.col(name).alias("k"), F.col(text).alias("t")).mapInPandas(run, "n bigint").agg(F.sum("n")).collect()
+
+
 def ledger_json(ledger: DataFrame, topic: str, numbers: str) -> DataFrame:
     """The whole ledger as one JSON object; a ledger has a row per topic."""
     return ledger.agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct(topic, numbers))))).alias("ledger"))
