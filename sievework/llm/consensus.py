@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sievework.operators.nested import flattened
 from sievework.session import cut
 
 METRICS = ("problem_quality", "solution_quality")
@@ -50,17 +51,44 @@ def vote_of(metric: str):
     return F.when((score >= LOWEST) & (score <= HIGHEST), (score >= PASS_FROM).cast("int"))
 
 
-def items(voted: DataFrame) -> DataFrame:
+def from_records(records: DataFrame) -> DataFrame:
+    """Grades as they lie in problem documents (problem_key, record_json), in the form of a table of grades.
+
+    A document exported more than once repeats its grades, which are one vote all the same.
+    """
+    flat = flattened(records, "gradings").join(records.select("record_id", "problem_key").hint("merge"), "record_id")
+    return flat.select(
+        F.xxhash64("record_id", "parent_key", "child_key").alias("grade_row_id"), "problem_key", F.col("parent_key").alias("grader_id"), F.col("index").cast("int").alias("run_index"), F.col("timestamp").alias("graded_at"),
+        "problem_quality", "problem_quality_comment", "solution_completeness", "solution_quality", "test_case_quality",
+    )
+
+
+def item_features(metadata: DataFrame) -> DataFrame:
+    """(problem_key, item): features of the problem itself - length of its description, formulas and numbers in it, and whether there is one; each within -0.5 to 0.5."""
+    text = F.coalesce("problem_description", F.lit(""))
+    scaled = lambda x, full: F.least(x / F.lit(float(full)), F.lit(1.0)) - 0.5
+    count = lambda pattern: F.size(F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1)))
+    made = F.array(scaled(F.length(text), 1000), scaled(count(r"\$[^$]+\$"), 8), scaled(count(r"\d+"), 16), F.when(F.length(text) > 0, 0.5).otherwise(-0.5))
+    return metadata.where("problem_key is not null").groupBy("problem_key").agg(F.min_by(made, F.xxhash64(text)).alias("item"))
+
+
+def items(voted: DataFrame, features: DataFrame | None = None) -> DataFrame:
     """A row per problem: its votes as one list and its features as one array.
 
     The list has at most one entry per grader, so its length is bounded by the number of graders.
+    ``features`` (problem_key, item array) adds features of the item itself; items without count as 0 there.
     """
     each = F.struct("grader_id", *(vote_of(m).alias(m) for m in METRICS))
     within = lambda c: F.when(F.col(c).between(LOWEST, HIGHEST), F.col(c) / 100.0 - 0.5)
-    return voted.groupBy("problem_key").agg(
+    made = voted.groupBy("problem_key").agg(
         F.collect_list(each).alias("votes"),
         F.array(F.lit(1.0), F.coalesce(F.avg(within("solution_completeness")), F.lit(0.0)), F.coalesce(F.avg(within("test_case_quality")), F.lit(0.0)), F.coalesce(F.avg("commented"), F.lit(0.0))).alias("features"),
     )
+    if features is None:
+        return made
+    width = features.select(F.coalesce(F.max(F.size("item")), F.lit(0))).first()[0]
+    joined = made.join(features.select("problem_key", "item"), "problem_key", "left")
+    return joined.select("problem_key", "votes", F.concat("features", F.coalesce("item", F.array_repeat(F.lit(0.0), width))).alias("features"))
 
 
 @dataclass
@@ -72,6 +100,7 @@ class Model:
     right_fail: np.ndarray  # metric x grader: P(vote fail | truth fail)
     weights: np.ndarray  # metric x feature, for "pass"
     rounds: int = 0
+    objective: list[float] = field(default_factory=list)  # penalised log likelihood before each round but the first
     seen: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
 
@@ -82,7 +111,7 @@ def unpack(frame: pd.DataFrame, index: dict[str, int]) -> tuple[np.ndarray, np.n
     row = np.repeat(np.arange(len(frame)), sizes)
     grader = np.array([index[v["grader_id"]] for v in flat], np.int64)
     vote = np.array([[-1 if v[m] is None or v[m] != v[m] else int(v[m]) for v in flat] for m in METRICS], np.int64).reshape(len(METRICS), len(flat))
-    features = np.stack(frame["features"].to_list()).astype(float) if len(frame) else np.zeros((0, len(FEATURES)))
+    features = np.stack(frame["features"].to_list()).astype(float) if len(frame) else np.zeros((0, 1))
     return row, grader, vote, features
 
 
@@ -100,6 +129,24 @@ def posteriors(model: Model, row: np.ndarray, grader: np.ndarray, vote: np.ndarr
     return np.array(out), np.array(counted)
 
 
+def log_likelihood(model: Model, row: np.ndarray, grader: np.ndarray, vote: np.ndarray, features: np.ndarray) -> float:
+    """Of a batch's votes, labels summed out."""
+    total = 0.0
+    for m in range(len(METRICS)):
+        v, z = vote[m], features @ model.weights[m]
+        if_pass = np.where(v == 1, np.log(model.right_pass[m])[grader], np.where(v == 0, np.log1p(-model.right_pass[m])[grader], 0.0))
+        if_fail = np.where(v == 1, np.log1p(-model.right_fail[m])[grader], np.where(v == 0, np.log(model.right_fail[m])[grader], 0.0))
+        n = len(features)
+        total += float(np.logaddexp(np.bincount(row, if_pass, n) - np.logaddexp(0, -z), np.bincount(row, if_fail, n) - np.logaddexp(0, z)).sum())
+    return total
+
+
+def penalty(model: Model, ridge: np.ndarray) -> float:
+    """What the pseudo-counts and the ridge add to the log likelihood."""
+    rights = np.concatenate([model.right_pass.ravel(), model.right_fail.ravel()])
+    return float(SMOOTH[0] * np.log(rights).sum() + SMOOTH[1] * np.log1p(-rights).sum() - 0.5 * sum(w @ ridge @ w for w in model.weights))
+
+
 def majorities(row: np.ndarray, vote: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first guess: the share of pass votes, drawn towards one half."""
     out, counted = [], []
@@ -116,7 +163,8 @@ def fit(items_df: DataFrame, graders: list[str]) -> Model:
     The classifier takes one Newton step a round on the expected labels (generalised EM).
     """
     index = {g: k for k, g in enumerate(graders)}
-    n, d, k = len(METRICS), len(FEATURES), len(graders)
+    first = items_df.select(F.size("features")).first()
+    n, d, k = len(METRICS), first[0] if first else len(FEATURES), len(graders)
     model: Model | None = None
     weights = np.zeros((n, d))
 
@@ -126,6 +174,7 @@ def fit(items_df: DataFrame, graders: list[str]) -> Model:
             for frame in frames:
                 row, grader, vote, features = unpack(frame, index)
                 p, have = majorities(row, vote, len(features)) if current is None else posteriors(current, row, grader, vote, features)
+                evidence += 0.0 if current is None else log_likelihood(current, row, grader, vote, features)
                 for m in range(n):
                     ok = have[m] > 0
                     for truth, q in ((1, p[m]), (0, 1 - p[m])):
@@ -146,22 +195,24 @@ def fit(items_df: DataFrame, graders: list[str]) -> Model:
         a, b = n * k * 4, n * k * 4 + n * d
         return flat[:a].reshape(n, k, 4), flat[a:b].reshape(n, d), flat[b:-1].reshape(n, d, d), flat[-1]
 
+    ridge, objective = np.diag([1e-3] + [RIDGE] * (d - 1)), []
     for step in range(ROUNDS):
-        counts, gradient, hessian, _ = sums(model, weights)
+        counts, gradient, hessian, evidence = sums(model, weights)
+        if model is not None:
+            objective.append(evidence + penalty(model, ridge))
         right_pass = (counts[:, :, 3] + SMOOTH[0]) / (counts[:, :, 3] + counts[:, :, 2] + sum(SMOOTH))
         right_fail = (counts[:, :, 0] + SMOOTH[0]) / (counts[:, :, 0] + counts[:, :, 1] + sum(SMOOTH))
-        ridge = np.diag([1e-3] + [RIDGE] * (d - 1))
         weights = weights + np.stack([np.linalg.solve(hessian[m] + ridge, gradient[m] - ridge @ weights[m]) for m in range(n)])
         weights = np.clip(weights, -8, 8)
         moved = np.inf if model is None else max(np.abs(right_pass - model.right_pass).max(initial=0), np.abs(right_fail - model.right_fail).max(initial=0))
-        model = Model(graders, right_pass, right_fail, weights, step + 1, counts.sum(axis=2))
+        model = Model(graders, right_pass, right_fail, weights, step + 1, objective, counts.sum(axis=2))
         if moved < TOLERANCE:
             break
     return model
 
 
-def consensus(grades: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(consensus, graders).
+def consensus(grades: DataFrame, features: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(consensus, graders); ``features`` (problem_key, item) are features of the items themselves.
 
     consensus: problem_key, metric, consensus ("pass" / "fail"), p_fail, n_votes, agreement
     (share of pairs of votes that agree; null for one vote). An item without votes on a
@@ -171,7 +222,7 @@ def consensus(grades: DataFrame) -> tuple[DataFrame, DataFrame]:
     Empty grades give two empty frames.
     """
     spark = grades.sparkSession
-    ready = cut(items(votes(grades)))
+    ready = cut(items(votes(grades), features))
     # one row per annotator: bounded by their number, not by the items
     graders = sorted(r[0] for r in ready.select(F.explode("votes.grader_id")).distinct().collect())
     model = fit(ready, graders)

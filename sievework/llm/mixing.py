@@ -27,9 +27,13 @@ def quality_weight(text: Column) -> Column:
     return F.lit(0.5) + F.coalesce(F.try_divide(letters.cast("double"), F.length(text).cast("double")), F.lit(0.0))
 
 
-def sizes(documents: DataFrame, vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
-    """doc_id, source, weight, tokens of each document, written to the shared folder once."""
-    slim = documents.select(F.col("doc_id"), F.col("source"), quality_weight(F.col("text")).alias("weight"), F.col("text"))
+def sizes(documents: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, weight_col: str | None = None) -> DataFrame:
+    """doc_id, source, weight, tokens of each document, written to the shared folder once.
+
+    ``weight_col`` names a column of quality weights; a null or one that is not positive is drawn last.
+    """
+    weight = quality_weight(F.col("text")) if weight_col is None else F.greatest(F.coalesce(F.col(weight_col).cast("double"), F.lit(0.0)), F.lit(0.0))
+    slim = documents.select(F.col("doc_id"), F.col("source"), weight.alias("weight"), F.col("text"))
     return cut(count_tokens(slim, "text", "tokens", vocabulary))
 
 
@@ -89,9 +93,9 @@ def report(plans: DataFrame, chosen: DataFrame) -> DataFrame:
     )
 
 
-def mix(documents: DataFrame, targets: DataFrame, budget: int | None = None, seed: int = 17, vocabulary: str = DEFAULT_VOCABULARY) -> tuple[DataFrame, DataFrame]:
-    """(selection, report). Empty documents or targets give empty results; doc_id must be unique."""
-    sized = sizes(documents, vocabulary)
+def mix(documents: DataFrame, targets: DataFrame, budget: int | None = None, seed: int = 17, vocabulary: str = DEFAULT_VOCABULARY, weight_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(selection, report), drawn by the weights of ``weight_col`` or by a stand-in for quality. Empty documents or targets give empty results; doc_id must be unique."""
+    sized = sizes(documents, vocabulary, weight_col)
     plans = cut(plan(sized, targets, budget))
     chosen = select(sized, plans, seed)
     return chosen, report(plans, chosen)

@@ -15,6 +15,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sievework.session import scratch
+
 #: (rule, least share of repeated content that fails it); the bit of a rule is its place.
 RULES = (
     ("word_run_8", 0.30),
@@ -175,6 +177,22 @@ def ledger(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return source.mapInPandas(run, SCHEMA).withColumnRenamed("id", id_col)
 
 
+def stored(book: DataFrame) -> DataFrame:
+    """The ledger written once to the shared folder: policies and ablations read the copy, no text again."""
+    path = scratch(book.sparkSession, "ledger")
+    book.write.parquet(path)
+    return book.sparkSession.read.parquet(path)
+
+
+def policies(book: DataFrame) -> DataFrame:
+    """(policy, texts, rejected) of every version of the policy over one ledger."""
+    counts = book.groupBy("failed").agg(F.count(F.lit(1)).alias("n"))
+    each = F.explode(F.array(*(F.struct(F.lit(p).alias("policy"), F.lit(mask_of(p)).cast("bigint").alias("mask")) for p in POLICIES)))
+    spread = counts.select("failed", "n", each.alias("w")).select("failed", "n", "w.*")
+    hit = F.col("failed").bitwiseAND(F.col("mask")) != 0
+    return spread.groupBy("policy").agg(F.sum("n").alias("texts"), F.coalesce(F.sum(F.when(hit, F.col("n"))), F.lit(0)).alias("rejected"))
+
+
 def apply_policy(book: DataFrame, policy: str) -> DataFrame:
     """Rows of the ledger that the policy rejects."""
     return book.where(F.col("failed").bitwiseAND(F.lit(mask_of(policy))) != 0)

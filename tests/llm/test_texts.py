@@ -427,3 +427,20 @@ def test_pair_defects_of_other_styles(spark):
     got = {r.pair_id - 90_000: r.defect for r in pairs.judge(base.unionByName(extra)).where("pair_id >= 90000").collect()}
     right = lambda *labels: np.mean([got[k] == x for k, (x, _) in enumerate(OTHER_STYLES) if x in labels])
     assert right("truncated", None) >= 0.8 and right("refusal") >= 0.6 and right("empty") >= 0.5, got
+
+
+def test_weights_of_the_caller_decide_the_draw(spark):
+    """With a column of quality weights the fractional draw takes heavy documents first; null weights come last."""
+    rows = [(k, "the same words in each of them", "a", 1000.0 if k % 2 else None if k % 4 else 1e-6) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, quality double")
+    targets = spark.createDataFrame([("a", 1.0, 1)], "source string, target_share double, max_repeats int")
+    total = mixing.mix(docs, targets)[1].first().tokens
+    chosen, report = mixing.mix(docs, targets, budget=total // 4, weight_col="quality")
+    picked = [r.doc_id for r in chosen.collect()]
+    assert 80 <= len(picked) <= 100 and sum(k % 2 for k in picked) >= 0.97 * len(picked) and report.first().actual_share == 1.0
+
+
+def test_policies_read_one_stored_ledger(spark):
+    texts = ["one two three four five six seven eight nine ten. " * 3, "a line of some words\n" * 4, "nothing said twice here", None, ""]
+    book = repetition.stored(repetition.ledger(frame(spark, texts), "doc_id", "text"))
+    assert {r.policy: (r.texts, r.rejected) for r in repetition.policies(book).collect()} == {p: (5, repetition.apply_policy(book, p).count()) for p in repetition.POLICIES}
