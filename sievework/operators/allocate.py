@@ -111,7 +111,9 @@ def weighted_draws(weights: DataFrame, draws: DataFrame, key: str, weight: str,
     good = weights.where(F.col(weight) > 0)
     share = F.sum(weight).over(Window.partitionBy().orderBy(key)) / F.sum(weight).over(Window.partitionBy())
     ranges = good.select(share.alias("_hi"), F.col(key).alias("_k")).agg(F.array_sort(F.collect_list(F.struct("_hi", "_k"))).alias("_r"))
-    u = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *draws.columns), 11).cast("double") / F.lit(float(2**53))
+    # the first 52 bits of a hash of seed and row
+    drawn = F.md5(F.concat_ws(":", F.lit(seed), *(F.col(c).cast("string") for c in draws.columns)))
+    u = F.conv(F.left(drawn, F.lit(13)), 16, 10).cast("double") / F.lit(float(2**52))
     picked = F.try_element_at(F.filter("_r", lambda r: r["_hi"] > F.col("_u")), F.lit(1))["_k"]
     # one row with the list of ranges: a scalar, not a cross join of rows
     return draws.withColumn("_u", u).join(F.broadcast(ranges), F.lit(True)).withColumn(key, picked).drop("_u", "_r")
@@ -127,11 +129,27 @@ def previous(df: DataFrame, by: str, order: Sequence[str], value: str) -> Column
     return F.collect_list(F.when(F.length(F.trim(F.col(value))) > 0, F.col(value))).over(w)
 
 
+def before(df: DataFrame, by: str, order: Sequence[str], value: str) -> DataFrame:
+    """``df`` with ``earlier`` and ``last_earlier``: how many non-empty values of its group come before a row, and the last of them.
+
+    Rows are sorted by (group, order) in ranges, so a group of a third of all rows spreads over
+    many tasks; a row per range and group carries counts and last values from range to range.
+    """
+    ranged = df.repartitionByRange(by, *order).sortWithinPartitions(by, *order).withColumn("_p", F.spark_partition_id())
+    full = F.when(F.length(F.trim(F.col(value))) > 0, F.col(value))
+    inside = Window.partitionBy("_p", by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    counted = ranged.withColumn("_n", F.count(full).over(inside)).withColumn("_l", F.last(full, ignorenulls=True).over(inside))
+    ends = ranged.groupBy("_p", by).agg(F.count(full).alias("_c"), F.max_by(full, F.when(full.isNotNull(), F.struct(*order))).alias("_e"))
+    over = Window.partitionBy(by).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("_p", by, F.coalesce(F.sum("_c").over(over), F.lit(0)).alias("_before"), F.last("_e", ignorenulls=True).over(over).alias("_from"))
+    same = carried.withColumnRenamed(by, "_g").withColumnRenamed("_p", "_q")
+    joined = counted.join(same, (F.col("_p") == F.col("_q")) & F.col(by).eqNullSafe(F.col("_g")), "left")
+    return joined.withColumn("earlier", (F.col("_n") + F.coalesce("_before", F.lit(0))).cast("bigint")).withColumn("last_earlier", F.coalesce("_l", "_from")).select(*df.columns, "earlier", "last_earlier")
+
+
 def latest_before(df: DataFrame, by: str, order: Sequence[str], value: str) -> DataFrame:
     """``df`` with the number of earlier non-empty values of its group and the last of them: constant state a row."""
-    w = Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    full = F.when(F.length(F.trim(F.col(value))) > 0, F.col(value))
-    return df.withColumn("earlier", F.count(full).over(w)).withColumn("last_earlier", F.last(full, ignorenulls=True).over(w))
+    return before(df, by, order, value)
 
 
 def context(df: DataFrame, by: str, order: Sequence[str], value: str) -> DataFrame:
@@ -140,9 +158,7 @@ def context(df: DataFrame, by: str, order: Sequence[str], value: str) -> DataFra
     Values that are null or empty have no position. Constant state a row, nothing is left out.
     """
     filled = F.length(F.trim(F.col(value))) > 0
-    w = Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    counted = df.withColumn("earlier", F.count(F.when(filled, F.lit(1))).over(w))
-    return counted.withColumn("position", F.when(filled, F.col("earlier") + 1))
+    return before(df, by, order, value).drop("last_earlier").withColumn("position", F.when(filled, F.col("earlier") + 1))
 
 
 def context_lists(placed: DataFrame, by: str, value: str) -> DataFrame:

@@ -311,7 +311,8 @@ def train_val_split(spark, sf_dir):
     return allocate.split(table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
 
 
-@query()
+@query("""WITH w AS (SELECT difficulty_level AS level, count(*)::double AS w FROM topics GROUP BY 1), hi AS (SELECT level, sum(w) OVER (ORDER BY level) / sum(w) OVER () AS hi FROM w)
+  SELECT problem_key, min_by(level, hi) AS level FROM (SELECT problem_key, ('0x' || left(md5('7:' || problem_key), 13))::bigint / 4503599627370496.0::double AS u FROM problem_metadata) JOIN hi ON hi > u GROUP BY 1""")
 def weighted_sample(spark, sf_dir):
     weights = table(spark, sf_dir, "topics").groupBy(F.col("difficulty_level").alias("level")).agg(F.count(F.lit(1)).cast("double").alias("w"))
     return allocate.weighted_draws(weights, table(spark, sf_dir, "problem_metadata").select("problem_key"), "level", "w")
@@ -565,7 +566,7 @@ def p2_verdict_cases(spark, sf_dir):
     return nested.flattened(table(spark, sf_dir, "problem_records"), "verdict_cases").select("record_id", "parent_key", "child_key", "standard_output", "matches", "tolerance_used")
 
 
-@query()
+@query(f"WITH {NESTED_SQL}, t AS (SELECT record_id, e->>'$.output_type' AS output_type FROM test_cases WHERE json_type(json_extract(e, '$.output_type')) = 'VARCHAR') SELECT output_type, count(*) AS n, CASE WHEN count(*) < 20 THEN string_agg(DISTINCT record_id::varchar, ',' ORDER BY record_id::varchar) END AS problems FROM t GROUP BY 1")
 def output_type_audit(spark, sf_dir):
     found = nested.flattened(table(spark, sf_dir, "problem_records"), "test_cases").where("output_type is not null")
     return verdicts.output_types(found)
@@ -628,7 +629,7 @@ def solve_loop_stub(spark, sf_dir):
     return pipeline.solve(problems, pipeline.Config(max_k=2))
 
 
-@query()
+@query("SELECT problem_key, 100 AS problem_quality, 100 AS solution_quality, NULL::varchar AS error FROM problem_metadata")
 def grade_calls(spark, sf_dir):
     """One grading call per problem with the model that gives full marks."""
     problems = table(spark, sf_dir, "problem_metadata").select("problem_key", T.prompt("Grade:\n{{P}}", P=F.col("problem_description")).alias("prompt"), F.lit("test-model").alias("model"))

@@ -1,5 +1,6 @@
 """The whole running context of a topic, against brute force."""
 
+from sievework.operators import allocate
 from sievework import queries as core
 from sievework.session import table
 
@@ -19,3 +20,18 @@ def test_whole_context_and_prompts(spark, sf):
     for r in prompts:
         want = "\n".join(f"{k}. {d}" for k, d in enumerate(told.get(r.topic_id, []), 1))
         assert want in r.prompt and ("Previously generated" in r.prompt) == bool(want)
+
+
+def test_a_hot_group_spreads_over_ranges(spark):
+    """Half of all rows in one group, nulls and blanks among them: counts and last values by brute force."""
+    rows = [("hot" if k % 2 else f"t{k % 7}", k, None if k % 5 == 0 else " " if k % 11 == 0 else f"v{k}") for k in range(4000)] + [(None, 9001, "a"), (None, 9002, None), (None, 9003, "b")]
+    df = spark.createDataFrame(rows, "topic string, no bigint, text string").repartition(5)
+    got = {r.no: (r.earlier, r.last_earlier) for r in allocate.before(df, "topic", ["no"], "text").collect()}
+    seen = {}
+    for topic, no, text in sorted(rows, key=lambda r: r[1]):
+        held = seen.setdefault(topic, [])
+        assert got[no] == (len(held), held[-1] if held else None)
+        if text and text.strip():
+            held.append(text)
+    parts = allocate.before(df, "topic", ["no"], "text")
+    assert parts.count() == len(rows)
