@@ -128,17 +128,25 @@ def grams(words: Words, hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndar
     return at, total
 
 
+def held_in(these: np.ndarray, those: np.ndarray) -> np.ndarray:
+    """Whether each of ``these`` is among ``those``."""
+    if not those.size:
+        return np.zeros(these.size, bool)
+    those = np.sort(those)
+    return those[np.minimum(np.searchsorted(those, these), those.size - 1)] == these
+
+
 def taken_over(mine: Words, theirs: Words, hashes: np.ndarray) -> dict[str, np.ndarray]:
     """By row: the share of words in runs of four that the problem has, the share of words it has, the longest stretch that is new, new words, and the share of the last twelve."""
     size = mine.sizes.size
     of_row = lambda row: (row.astype(np.uint64) + np.uint64(1)) * ODD[1]
     at, run = grams(mine, hashes, 4)
     there, theirs_run = grams(theirs, hashes, 4)
-    again = np.isin(run ^ of_row(mine.row[at]), theirs_run ^ of_row(theirs.row[there]))
+    again = held_in(run ^ of_row(mine.row[at]), theirs_run ^ of_row(theirs.row[there]))
     covered = np.zeros(mine.row.size, bool)
     for k in range(4):
         covered[at[again] + k] = True
-    known = np.isin((mine.row << 32) | mine.code, (theirs.row << 32) | theirs.code)
+    known = held_in((mine.row << 32) | mine.code, (theirs.row << 32) | theirs.code)
     many = np.maximum(mine.sizes, 1)
     mean = lambda held: np.bincount(mine.row, weights=held, minlength=size)
     # stretches of words not covered
@@ -230,7 +238,8 @@ def features(problems: list[str | None], solutions: list[str | None], counts: np
     for n in (1, 2, 3):
         at, run = grams(said_in, word_hashes, n)
         keys.append((said_in.row[at].astype(np.uint64) << np.uint64(DIMENSIONS_LOG2)) | ((run * ODD[3] + np.uint64(n)) >> np.uint64(64 - DIMENSIONS_LOG2)))
-    held = np.unique(np.concatenate(keys)).astype(np.int64)
+    held = np.sort(np.concatenate(keys).astype(np.int64))
+    held = held[np.diff(held, prepend=-1) != 0]
     grams_of = Sparse(held >> DIMENSIONS_LOG2, held & ((1 << DIMENSIONS_LOG2) - 1), np.full(held.size, 0.5), len(answers))
     out["refusal"] = out["refusal"].joined(grams_of)
     return out
