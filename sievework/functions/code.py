@@ -131,6 +131,19 @@ def coerced(value: object, kind: str) -> object:
     return value
 
 
+def rehydrated(value: object) -> object:
+    """Values back from ``jsonable`` and from other JSON forms: "(1+2j)" and {"re", "im"} as complex numbers, at every depth."""
+    if isinstance(value, dict):
+        if set(value) == {"re", "im"} and all(isinstance(x, (int, float)) and not isinstance(x, bool) for x in value.values()):
+            return complex(value["re"], value["im"])
+        return {k: rehydrated(v) for k, v in value.items()}
+    if isinstance(value, list):
+        return [rehydrated(v) for v in value]
+    if isinstance(value, str) and re.fullmatch(r"\(?[-+]?[\d.]+(?:e[-+]?\d+)?(?:[-+][\d.]+(?:e[-+]?\d+)?)?[ij]\)?", value):
+        return complex(value.strip("()").replace("i", "j"))
+    return value
+
+
 def jsonable(value: object) -> object:
     """Plain JSON of results: complex numbers as text, tuples and arrays as lists, numpy scalars as numbers."""
     if isinstance(value, (complex, np.complexfloating)):

@@ -39,6 +39,18 @@ def plain(v):
     if isinstance(v, dict): return {str(k): plain(x) for k, x in v.items()}
     if isinstance(v, float) and not math.isfinite(v): raise ValueError('the result is not finite')
     return v if v is None or isinstance(v, (bool, int, float, str)) else str(v)
+def made(v, kind):
+    try:
+        if kind == 'complex':
+            return complex(v['re'], v['im']) if isinstance(v, dict) else complex(*v) if isinstance(v, list) else complex(str(v).strip().strip('()').replace('i', 'j'))
+        if kind in ('tuple', 'Tuple'):
+            return tuple(v) if isinstance(v, list) else v
+        if kind in ('ndarray', 'array'):
+            import numpy
+            return numpy.array(v, dtype=float)
+    except Exception:
+        pass
+    return v
 out = {'error': None, 'results': []}
 try:
     before = set(scope)
@@ -47,7 +59,7 @@ try:
     if not found:
         out['error'] = 'no function found'
     for case in work['cases'] if found else ():
-        value = found[0](**case)
+        value = found[0](**{k: made(v, work['kinds'].get(k)) for k, v in case.items()})
         out['results'].append({'output': plain(value), 'type': type(value).__name__})
 except MemoryError:
     out['error'] = 'out of memory'
@@ -57,13 +69,16 @@ sys.stdout.write('\n' + json.dumps(out))
 """
 
 
-def run(code: str | None, cases: list[dict], seconds: float = 10.0, memory_mb: int = 1024) -> dict:
-    """{"error", "results": [{"output", "type"}]}: the first function of the code on each case; the first failure ends it."""
+def run(code: str | None, cases: list[dict], seconds: float = 10.0, memory_mb: int = 1024, kinds: dict[str, str] | None = None) -> dict:
+    """{"error", "results": [{"output", "type"}]}: the first function of the code on each case; the first failure ends it.
+
+    ``kinds`` (argument -> type) makes what JSON cannot hold: complex numbers, tuples, arrays.
+    """
     if not code or not code.strip():
         return {"error": "no code found", "results": []}
     try:
         done = subprocess.run(
-            [sys.executable, "-I", "-c", CHILD, str(memory_mb << 20)], input=json.dumps({"code": code, "cases": cases}), capture_output=True, text=True, timeout=seconds, env={"OMP_NUM_THREADS": "1", "OPENBLAS_NUM_THREADS": "1"}, check=False
+            [sys.executable, "-I", "-c", CHILD, str(memory_mb << 20)], input=json.dumps({"code": code, "cases": cases, "kinds": kinds or {}}), capture_output=True, text=True, timeout=seconds, env={"OMP_NUM_THREADS": "1", "OPENBLAS_NUM_THREADS": "1"}, check=False
         )
     except subprocess.TimeoutExpired:
         return {"error": "timed out", "results": []}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -15,6 +16,8 @@ from pyspark.sql.types import StringType
 TITLES = {"Problem": "Problem Statement", "Problem Statement": "Problem Statement", "Problem Description": "Problem Description", "Answer Requirements": "Answer Requirements", "Solution": "Solution", "Answer": "Answer", "Code": "Code"}
 #: Sections of the older form, by letter.
 LETTERED = {"A": "Problem", "B": r"Answer\s*Requirements", "C": "Solution", "D": "Answer", "E": "Code"}
+#: Characters that stand raised or lowered, by their decomposition.
+SUPERS, SUBS = ("".join(chr(c) for c in (*range(0xB2, 0xBA), *range(0x2070, 0x20A0)) if unicodedata.decomposition(chr(c)).startswith(kind)) for kind in ("<super>", "<sub>"))
 FENCE = r"(?s)```python\s*\n(.*?)```"
 PYTHON_ENV = r"(?s)\\begin\{python\}(.*?)\\end\{python\}"
 
@@ -208,13 +211,25 @@ REPORT_RULES: Sequence[tuple[str, str]] = (
 )
 
 
-def report_text(text: Column) -> Column:
-    """Model text for a LaTeX report: thoughts and document commands dropped, bold, headings and inline maths converted."""
+def report_text(text: Column, thoughts: bool = False) -> Column:
+    """Model text for a LaTeX report: document commands dropped, bold, headings and inline maths converted; thoughts dropped, or kept without their tags."""
+    if thoughts:
+        text = F.regexp_replace(text, r"</?think>", "")
     for pattern, new in REPORT_RULES:
         text = F.regexp_replace(text, pattern, new)
     return text
 
 
+def raised(text: str) -> str:
+    """Superscript and subscript characters as LaTeX: runs of them as one group."""
+
+    def group(m: re.Match) -> str:
+        kind = "^" if unicodedata.decomposition(m.group()[0]).startswith("<super>") else "_"
+        return f"${kind}{{{''.join(unicodedata.normalize('NFKD', c) for c in m.group())}}}$"
+
+    return re.sub("[" + SUPERS + "]+|[" + SUBS + "]+", group, text)
+
+
 def escaped(text: str | None) -> str | None:
     """&, %, # and _ escaped outside formulas, commands' arguments and code; arrows as formulas."""
     if text is None:
@@ -226,7 +241,7 @@ def escaped(text: str | None) -> str | None:
         elif piece.startswith("```"):
             out.append("\\begin{verbatim}\n" + re.sub(r"^```\w*\n|```$", "", piece) + "\\end{verbatim}")
         else:
-            out.append(re.sub(r"([&%#_])", r"\\\1", piece).replace("→", r"$\to$").replace("≤", r"$\le$").replace("≥", r"$\ge$"))
+            out.append(raised(re.sub(r"([&%#_])", r"\\\1", piece)).replace("→", r"$\to$").replace("≤", r"$\le$").replace("≥", r"$\ge$"))
     return "".join(out)
 
 

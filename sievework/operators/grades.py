@@ -67,6 +67,11 @@ def runs_needed(grades: DataFrame, problem: str, grader: str, wanted: int) -> Da
     return grades.groupBy(problem, grader).agg(F.count(F.lit(1)).alias("runs")).withColumn("needed", F.greatest(F.lit(wanted) - F.col("runs"), F.lit(0)).cast("bigint"))
 
 
+def seed_only_due(documents: DataFrame) -> DataFrame:
+    """Documents with a seed whose correspondence to it has not been graded: ``original_seed`` and the flat ``quality``."""
+    return documents.where(F.col("original_seed").isNotNull() & F.col("quality.seed_correspondence").isNull())
+
+
 def next_index(grades: DataFrame, problem: str, grader: str, index: str = "run_index") -> DataFrame:
     """The index the next grade takes: greatest so far and one, 0 without any."""
     return grades.groupBy(problem, grader).agg((F.coalesce(F.max(index), F.lit(-1)) + 1).cast("bigint").alias("next_index"))

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sievework.operators.compare import scrubbed_json
+from sievework.sources.sinks import write_checked
+
 
 def attempt_key(timestamp: Column, solution: Column) -> Column:
     """Two attempts with the same timestamp and first 500 characters are one; without either there is no key."""
@@ -68,17 +71,20 @@ def same_keys(a: Column, b: Column) -> Column:
     return (F.size(F.array_except(F.map_keys(a), F.map_keys(b))) == 0) & (F.size(F.array_except(F.map_keys(b), F.map_keys(a))) == 0)
 
 
-def rewrite(spark: SparkSession, path: str, new: DataFrame) -> None:
-    """Replaces a table by ``new`` (which may read it): written beside it first, then swapped by renames."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    place, fresh, old = hadoop.Path(path), hadoop.Path(path + ".new"), hadoop.Path(path + ".old")
-    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    new.write.mode("overwrite").parquet(path + ".new")
-    files.delete(old, True)
-    if files.exists(place):
-        files.rename(place, old)
-    files.rename(fresh, place)
-    files.delete(old, True)
+def save_merged(spark: SparkSession, path: str, incoming: DataFrame, key: str, scrub: Sequence[str] = ()) -> None:
+    """Updates a table of documents: fields of ``incoming`` win where they have a value, new documents are added.
+
+    ``scrub`` names JSON columns whose values that are not finite become null. Single writer: the
+    new table is written beside the old one, read back and swapped in.
+    """
+    ready = incoming.select(*(scrubbed_json(c).alias(c) if c in scrub else F.col(c) for c in incoming.columns))
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        base = spark.read.parquet(path)
+        rest = [c for c in base.columns if c != key]
+        both = base.alias("b").join(ready.alias("i"), key, "full_outer")
+        ready = both.select(key, *(F.coalesce(F.col(f"i.{c}"), F.col(f"b.{c}")).alias(c) if c in ready.columns else F.col(f"b.{c}").alias(c) for c in rest))
+    write_checked(ready, path)
 
 
 def append_log(log: DataFrame, path: str, keys: Sequence[str] = ()) -> None:

@@ -63,6 +63,17 @@ def from_response(text: str | None, args: list[str]) -> list[dict] | None:
     return [{"case_id": k + 1, "inputs": json.dumps(c)} for k, c in enumerate(made)] or None
 
 
+def response_cases(df: DataFrame, id_col: str, text_col: str, args: list[str]) -> DataFrame:
+    """(id, cases) of models' answers; null where an answer holds no cases or any lacks an argument."""
+
+    def run(frames):
+        for frame in frames:
+            yield pd.DataFrame({"id": frame["id"], "cases": pd.Series([from_response(t, args) for t in frame["text"]], dtype=object)})
+
+    kind = df.schema[id_col].dataType.simpleString()
+    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(run, f"id {kind}, cases {CASES}").withColumnRenamed("id", id_col)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows that each start processes, dealt out over all cores: what they carry is small against what they cost."""
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
@@ -86,7 +97,7 @@ def execute(df: DataFrame, id_col: str, code_col: str, cases_col: str, seconds:
         for frame in frames:
             rows = []
             for i, code, cases in zip(frame["id"], frame["code"], frame["cases"]):
-                got = sandbox.run(code, [typed_inputs(parsed(c["inputs"]), code) for c in (cases if cases is not None else [])], seconds)
+                got = sandbox.run(code, [typed_inputs(parsed(c["inputs"]), code) for c in (cases if cases is not None else [])], seconds, kinds=C.argument_types(code))
                 rows.append((i, got["error"], [{"case_id": int(c["case_id"]), "output": json.dumps(r["output"]), "output_type": r["type"]} for c, r in zip(cases if cases is not None else [], got["results"])]))
             yield pd.DataFrame(rows, columns=["id", "error", "results"])
 
@@ -95,11 +106,14 @@ def execute(df: DataFrame, id_col: str, code_col: str, cases_col: str, seconds:
 
 
 def typed_inputs(inputs: object, code: str | None) -> dict:
-    """Inputs as the types of the function's arguments, those that cannot be converted as they are; none if they are no object."""
+    """Inputs as the types of the function's arguments, those that cannot be converted as they are; none if they are no object.
+
+    Complex numbers, tuples and arrays stay in their JSON form: the child process makes them.
+    """
     kinds = C.argument_types(code)
     if not isinstance(inputs, dict):
         return {}
-    return {name: C.jsonable(C.coerced(value, kinds[name])) if name in kinds and value is not None else value for name, value in inputs.items()}
+    return {name: C.coerced(value, kinds[name]) if kinds.get(name) in ("int", "float", "bool") and value is not None else value for name, value in inputs.items()}
 
 
 def repair(df: DataFrame, provider: Provider, model: str, id_col: str = "problem_id", code_col: str = "code", cases_col: str = "cases", reviews_col: str | None = None, rounds: int = 3) -> DataFrame:
@@ -153,9 +167,9 @@ def grade(df: DataFrame, keys: list[str], standard_col: str, attempt_col: str, c
                 inputs = [typed_inputs(parsed(c["inputs"]), standard) for c in (cases if cases is not None else [])]
                 at = (standard, json.dumps(inputs))
                 if at not in known:
-                    known[at] = sandbox.run(standard, inputs, seconds)
+                    known[at] = sandbox.run(standard, inputs, seconds, kinds=C.argument_types(standard))
                 want = known[at]
-                got = sandbox.run(attempt, inputs, seconds) if not want["error"] else {"error": None, "results": []}
+                got = sandbox.run(attempt, inputs, seconds, kinds=C.argument_types(standard)) if not want["error"] else {"error": None, "results": []}
                 error = f"standard: {want['error']}" if want["error"] else got["error"]
                 same = [alike(a["output"], b["output"], tolerance) for a, b in zip(want["results"], got["results"])]
                 verified.append(int(not error and bool(same) and all(same)))

@@ -13,6 +13,7 @@ from sievework.operators import grades as graded
 from sievework.plans import cases, prompts
 from sievework.plans.providers import Provider, Stub, call
 from sievework.session import cut
+from sievework.sources.readers import config as config_file
 
 
 @dataclass
@@ -35,6 +36,20 @@ class Config:
     dry_run: bool = False
 
 
+#: Names of a configuration file -> fields of Config.
+SETTINGS = {"topic_name": "topic_name", "num_problems": "num_problems", "level_split": "level_split", "model": "generator", "qc_runs": "qc_runs", "qc_threshold": "threshold", "solver_model": "solver", "max_k": "max_k", "dry_run": "dry_run"}
+
+
+def configured(path: str, **more: object) -> Config:
+    """A Config from a YAML or JSON file; what it does not name keeps its default, ``more`` wins over both."""
+    read = config_file(path)
+    known = {field_: read[name] for name, field_ in SETTINGS.items() if read.get(name) is not None}
+    task = read.get("task_config") or {}
+    known["tasks"] = (int(task.get("tasks_min", 1)), int(task.get("tasks_max", task.get("tasks_min", 1))))
+    known["dependent"] = bool(task.get("tasks_dependent", False))
+    return Config(**{**known, **more})
+
+
 def listing(earlier: Column) -> Column:
     """What a prompt says of the problems its topic has."""
     return F.concat(F.lit("\n\nPreviously generated problems in this topic:\n"), T.numbered_list(earlier), F.lit("\n\nMake a problem with tasks that differ from those listed; some similarity is acceptable, a copy is not."))

@@ -573,7 +573,7 @@ def output_type_audit(spark, sf_dir):
 
 
 def record_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    code = F.get_json_object("record_json", "$.problem_details.Code")
+    code = F.get_json_object(T.repaired_text("record_json"), "$.problem_details.Code")
     return table(spark, sf_dir, "problem_records").select("record_id", code.alias("code")).where("code is not null")
 
 

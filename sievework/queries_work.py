@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievework.functions import code as C
 from sievework.functions import text as T
 from sievework.operators import allocate, compare, grades, merge, nested, predicates, verdicts
 from sievework.plans import cases, pipeline, prompts, report
@@ -60,6 +62,23 @@ def existing_result(spark, sf_dir):
     return table(spark, sf_dir, "problem_metadata").select("problem_key").join(maps, "problem_key", "left").select("problem_key", F.coalesce(F.try_element_at("m", F.lit("orbis-mini")), F.lit(0)).cast("bigint").alias("runs"))
 
 
+@query(f"WITH {VERDICTS_SQL}, r AS (SELECT problem_key, coalesce(max((verified = 1 AND attempt_ord <= 3)::int), 0) AS won, max(attempt_ord) AS used FROM verdicts WHERE model = 'orbis-large' GROUP BY 1) SELECT p.problem_key FROM problem_metadata p LEFT JOIN r USING (problem_key) WHERE coalesce(won, 0) = 0 AND coalesce(used, 0) < 3")
+def resume_solver(spark, sf_dir):
+    """Problems a solver has neither solved nor used its three attempts on."""
+    mine = verdict_facts(spark, sf_dir).where("model = 'orbis-large'")
+    results = mine.groupBy("problem_key").agg(F.max((F.col("verified") == 1) & (F.col("attempt_ord") <= 3)).alias("passed"), F.max("attempt_ord").alias("used"))
+    return table(spark, sf_dir, "problem_metadata").select("problem_key").join(results, "problem_key", "left").where(predicates.to_resume(F.col("passed"), F.col("used"), 3)).select("problem_key")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_quantity IN (1, 2, 3, 5, 8, 13, 21, 34) AND l_linenumber > 0 AS safe FROM lineitem")
+def allowed_inputs(spark, sf_dir):
+    """Inputs against the values an argument may have, and against the risks of another."""
+    inputs = F.create_map(F.lit("q"), F.col("l_quantity").cast("double"), F.lit("n"), F.col("l_linenumber").cast("double"))
+    allowed = F.create_map(F.lit("q"), F.array(*(F.lit(float(x)) for x in (1, 2, 3, 5, 8, 13, 21, 34))))
+    risks = F.create_map(F.lit("n"), F.array(F.lit("domain_error")))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", predicates.safe_inputs(inputs, risks, allowed).alias("safe"))
+
+
 # --- grades -------------------------------------------------------------------------
 
 
@@ -316,6 +335,56 @@ def unique_log(spark, sf_dir):
     return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("logged"))
 
 
+@query(f"WITH {NESTED_SQL}, d AS (SELECT d->>'$.problem_metadata.\"Topic Entry ID\"' AS topic_id, try_cast(regexp_extract(d->>'$.problem_id', '(\\d+)$', 1) AS int) AS n FROM top) SELECT topic_id, string_agg(DISTINCT n::varchar, ',' ORDER BY n::varchar) AS problems FROM d WHERE topic_id IS NOT NULL AND n IS NOT NULL GROUP BY 1")
+def completed_topics(spark, sf_dir):
+    """Finished problems by topic, from the stored documents."""
+    done = readers.completed_by_topic(stored_documents(spark, sf_dir))
+    return done.select("topic_id", F.array_join(F.sort_array(F.col("problems").cast("array<string>")), ",").alias("problems"))
+
+
+@query(f"WITH {LATEST_SQL} SELECT problem_key, grader_id, run_index, problem_quality, solution_completeness, solution_quality, test_case_quality, problem_quality_comment, (problem_quality IS NULL)::int + (solution_quality IS NULL)::int + (problem_quality_comment IS NULL)::int AS dropped FROM latest")
+def serialised_grades(spark, sf_dir):
+    """Grades written as JSON without their null fields, and read back."""
+    fields = ["run_index", "problem_quality", "solution_completeness", "solution_quality", "test_case_quality", "problem_quality_comment"]
+    rows = latest_of(spark, sf_dir).select("problem_key", "grader_id", F.to_json(F.struct(*fields), {"ignoreNullFields": "true"}).alias("text"))
+    back = F.from_json("text", "run_index int, problem_quality int, solution_completeness int, solution_quality int, test_case_quality int, problem_quality_comment string")
+    dropped = sum((F.when(F.get_json_object("text", f"$.{f}").isNull(), 1).otherwise(0) for f in ("problem_quality", "solution_quality", "problem_quality_comment")), F.lit(0))
+    return rows.select("problem_key", "grader_id", back.alias("g"), dropped.cast("int").alias("dropped")).select("problem_key", "grader_id", "g.*", "dropped")
+
+
+@query("SELECT event_id, CASE WHEN event_id % 3 <> 0 THEN 2 END AS n, CASE WHEN event_id % 3 <> 0 THEN '{\"a\": ' || user_id || ', \"b\": 1}' END AS first_inputs FROM events")
+def response_cases(spark, sf_dir):
+    """Test cases read from answers around which a model talks; none where a case lacks an argument."""
+    second = F.when(F.col("event_id") % 3 == 0, F.lit('{"a": 1}')).otherwise('{"b": "x", "a": null}')
+    said = F.concat(F.lit('Here you are:\n```json\n{"test_cases": [{"inputs": {"a": '), F.col("user_id").cast("string"), F.lit(', "b": 1, "z": "}"}}, {"inputs": '), second, F.lit("}]}\n``` Good luck!"))
+    found = cases.response_cases(table(spark, sf_dir, "events").select("event_id", said.alias("said")), "event_id", "said", ["a", "b"])
+    return found.select("event_id", F.when(F.col("cases").isNotNull(), F.size("cases")).alias("n"), F.col("cases")[0]["inputs"].alias("first_inputs"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, '[' || printf('%.6f', l_extendedprice * l_discount) || ', ' || printf('%.6f', l_tax / 7) || ']' AS shown FROM lineitem")
+def formatted_outputs(spark, sf_dir):
+    """Lists of numbers with the decimals that the tolerance leaves."""
+
+    @F.pandas_udf("string")
+    def shown(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([compare.rounded([x, y]) for x, y in zip(a, b)])
+
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", shown(F.col("l_extendedprice") * F.col("l_discount"), F.col("l_tax") / 7).alias("shown"))
+
+
+@query(f"WITH {NESTED_SQL} SELECT record_id, regexp_extract(details->>'$.Code', 'def\\s+(\\w+)', 1) AS name, regexp_extract_all(regexp_extract(details->>'$.Code', 'def\\s+\\w+\\(([^)]*)\\)', 1), '(\\w+)\\s*:', 1) AS args FROM top WHERE json_type(json_extract(details, '$.Code')) = 'VARCHAR' AND regexp_matches(details->>'$.Code', 'def\\s+\\w+')")
+def function_heads(spark, sf_dir):
+    """Name and arguments of every record's function, from its syntax tree."""
+
+    @F.pandas_udf("name string, args array<string>")
+    def head(codes: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({"name": [C.function_name(c) for c in codes], "args": [C.arguments(c) for c in codes]})
+
+    code = F.get_json_object(T.repaired_text("record_json"), "$.problem_details.Code")
+    rows = table(spark, sf_dir, "problem_records").select("record_id", code.alias("code")).where("code is not null")
+    return rows.select("record_id", head("code").alias("h")).select("record_id", "h.*").where("name is not null")
+
+
 # --- stages ---------------------------------------------------------------------------------
 
 

@@ -9,6 +9,7 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from sievework.functions.text import pair_hash, repaired_text
 
@@ -37,9 +38,11 @@ def stem(path: Column) -> Column:
     return F.regexp_replace(file_name(path), r"\.[^.]*$", "")
 
 
-def documents(spark: SparkSession, folder: str, recursive: bool = False, pattern: str = "p*.json", repair: bool = True) -> DataFrame:
+def documents(spark: SparkSession, folder: str, recursive: bool = False, pattern: str = "p*.json", repair: bool = True, ordered: bool = False, required: bool = False) -> DataFrame:
     """(file_path, status_dir, fields of DOCUMENT) of all problem files.
 
+    ``ordered`` sorts by file name (p1, p10, p2); with ``required`` a folder without documents is an error.
+
     Files that hold no problem (lists, broken JSON, no problem_id) are left out; text after
     a complete document is cut off. ``status_dir`` is the sub-folder a file lies in.
     """
@@ -49,7 +52,31 @@ def documents(spark: SparkSession, folder: str, recursive: bool = False, pattern
     parsed = files.select("file_path", F.from_json(text, DOCUMENT).alias("d"))
     here = folder.rstrip("/").rsplit("/", 1)[-1]
     kept = parsed.where(F.col("d.problem_id").isNotNull())
-    return kept.select("file_path", F.when(parent_name(F.col("file_path")) != here, parent_name(F.col("file_path"))).alias("status_dir"), "d.*")
+    out = kept.select("file_path", F.when(parent_name(F.col("file_path")) != here, parent_name(F.col("file_path"))).alias("status_dir"), "d.*")
+    if required and out.isEmpty():
+        raise FileNotFoundError(f"no problem documents in {folder}")
+    return out.orderBy(file_name(F.col("file_path"))) if ordered else out
+
+
+@F.pandas_udf(StructType([StructField("error", StringType()), StructField("line", IntegerType()), StructField("around", StringType())]))
+def json_error(batches: pd.Series) -> pd.DataFrame:
+    """What is wrong with JSON text, the line it is in, and two lines before and after; nulls for text that is well formed."""
+    rows = []
+    for text in batches:
+        try:
+            json.loads(text or "")
+            rows.append((None, None, None))
+        except (ValueError, RecursionError) as e:
+            line = getattr(e, "lineno", 1)
+            lines = (text or "").split("\n")
+            rows.append((str(e)[:300], line, "\n".join(lines[max(0, line - 3) : line + 2])))
+    return pd.DataFrame(rows, columns=["error", "line", "around"])
+
+
+def errors(spark: SparkSession, folder: str, pattern: str = "p*.json") -> DataFrame:
+    """(file_path, error, line, around) of files that are no well-formed JSON, those with text after their end too."""
+    files = spark.read.option("pathGlobFilter", pattern).text(folder, wholetext=True).select(F.col("_metadata.file_path").alias("file_path"), "value")
+    return files.select("file_path", json_error("value").alias("e")).select("file_path", "e.*").where("error is not null")
 
 
 def broken_documents(spark: SparkSession, folder: str, pattern: str = "p*.json") -> DataFrame:
@@ -65,7 +92,11 @@ def topics(spark: SparkSession, path: str) -> DataFrame:
         for frame in frames:
             rows = []
             for text in frame["value"]:
-                for level_ord, (level, groups) in enumerate(json.loads(text).items()):
+                try:
+                    levels = json.loads(text)
+                except ValueError:
+                    levels = {}  # a file that cannot be read has no topics
+                for level_ord, (level, groups) in enumerate(levels.items() if isinstance(levels, dict) else ()):
                     flat = [(group, entry) for group, entries in groups.items() for entry in entries]
                     rows += [(level, level_ord, group, k, e.get("id"), e.get("topic"), e.get("description")) for k, (group, e) in enumerate(flat)]
             yield pd.DataFrame(rows, columns=["level", "level_ord", "subcategory", "topic_ord", "id", "topic", "description"])
@@ -73,9 +104,25 @@ def topics(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).mapInPandas(run, "level string, level_ord int, subcategory string, topic_ord int, id string, topic string, description string")
 
 
-def seed_pairs(spark: SparkSession, base: str) -> DataFrame:
+def seed_directories(spark: SparkSession, base: str) -> list[str]:
+    """Sub-folders of seeds, by name: those with a seed file, and those whose name has a digit and a dot. A listing of folders, not of data."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(base)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = []
+    for entry in files.listStatus(root):
+        name = entry.getPath().getName()
+        held = any(files.exists(hadoop.Path(entry.getPath(), f)) for f in ("matched_pairs.yaml", "example_pairs.yaml")) if entry.isDirectory() else False
+        if entry.isDirectory() and (held or ("." in name and any(c.isdigit() for c in name))):
+            out.append(name)
+    return sorted(out)
+
+
+def seed_pairs(spark: SparkSession, base: str, examples: int | None = None, matched: int | None = None) -> DataFrame:
     """arxiv_id (the folder's name), seed_type, pos, problem, solution, pair_hash of all YAML seed files under ``base``.
 
+    ``examples`` and ``matched`` limit the pairs of each kind of a folder to its first.
+
     Null documents are dropped, mappings stand for their content, files that can't be read give none.
     """
 
@@ -99,7 +146,11 @@ def seed_pairs(spark: SparkSession, base: str) -> DataFrame:
             yield pd.DataFrame(rows, columns=["arxiv_id", "seed_type", "pos", "problem", "solution"])
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "{matched,example}_pairs.yaml").load(base).select("path", "content")
-    return files.mapInPandas(run, "arxiv_id string, seed_type string, pos int, problem string, solution string").withColumn("pair_hash", pair_hash(F.col("arxiv_id"), F.col("problem")))
+    pairs = files.mapInPandas(run, "arxiv_id string, seed_type string, pos int, problem string, solution string").withColumn("pair_hash", pair_hash(F.col("arxiv_id"), F.col("problem")))
+    for kind, most in (("example", examples), ("matched", matched)):
+        if most is not None:
+            pairs = pairs.where((F.col("seed_type") != kind) | (F.col("pos") < most))
+    return pairs
 
 
 def processed_hashes(docs: DataFrame) -> DataFrame:

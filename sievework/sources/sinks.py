@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -52,6 +52,40 @@ def export_texts(texts: DataFrame, folder: str, name: str, text: str, suffix: st
     texts.select(F.col(name).alias("k"), F.col(text).alias("t")).mapInPandas(run, "n bigint").agg(F.sum("n")).collect()
 
 
+def write_checked(df: DataFrame, path: str) -> int:
+    """Replaces a table after reading the new one back: its rows and columns must be those written. Returns the rows."""
+    spark = df.sparkSession
+    fresh = path + ".new"
+    df.write.mode("overwrite").parquet(fresh)
+    back = spark.read.parquet(fresh)
+    rows = back.count()
+    if [f.name for f in back.schema] != df.columns or rows != df.count():
+        raise OSError(f"{fresh} does not hold what was written")
+    swap(spark, fresh, path)
+    return rows
+
+
+def swap(spark: SparkSession, fresh: str, path: str) -> None:
+    """Puts a new folder in the place of another by renames."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    place, new, old = hadoop.Path(path), hadoop.Path(fresh), hadoop.Path(path + ".old")
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(old, True)
+    if files.exists(place):
+        files.rename(place, old)
+    files.rename(new, place)
+    files.delete(old, True)
+
+
+def copy_config(source: str, folder: str) -> str:
+    """A configuration file copied into its data set's folder, for later runs to see what made it."""
+    os.makedirs(folder, exist_ok=True)
+    target = os.path.join(folder, "config" + os.path.splitext(source)[1])
+    with open(source, encoding="utf-8") as f:
+        write_text(f.read(), target)
+    return target
+
+
 def ledger_json(ledger: DataFrame, topic: str, numbers: str) -> DataFrame:
     """The whole ledger as one JSON object; a ledger has a row per topic."""
     return ledger.agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct(topic, numbers))))).alias("ledger"))

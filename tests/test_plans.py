@@ -151,3 +151,62 @@ def test_small_functions(spark):
 def test_required_graders(spark, rows, want):
     df = spark.createDataFrame([(1, *r) for r in rows], "problem_key int, grader_id string, problem_quality int, solution_completeness int, solution_quality int, test_case_quality int")
     assert [r.problem_key for r in grades.only_failing(df, "problem_key", "grader_id", "test_case_quality", 80, required=("g", "h")).collect()] == want
+
+
+def test_configuration_files(spark, tmp_path):
+    (tmp_path / "c.yaml").write_text("topic_name: t\nnum_problems: 7\nlevel_split: {A: 0.5, B: 0.5}\nmodel: m\ntask_config: {tasks_min: 1, tasks_max: 3, tasks_dependent: true}\nverbose: false\n")
+    got = pipeline.configured(str(tmp_path / "c.yaml"), max_k=2)
+    assert (got.topic_name, got.num_problems, got.level_split, got.generator, got.tasks, got.dependent, got.max_k, got.solver) == ("t", 7, {"A": 0.5, "B": 0.5}, "m", (1, 3), True, 2, "stub")
+    assert open(sinks.copy_config(str(tmp_path / "c.yaml"), str(tmp_path / "set"))).read().startswith("topic_name")
+
+
+def test_errors_of_files_with_their_lines(spark, tmp_path):
+    (tmp_path / "p1.json").write_text('{"problem_id": "p1"}')
+    (tmp_path / "p10.json").write_text('{"problem_id": "p10"}')
+    (tmp_path / "p2.json").write_text('{\n "problem_id": "p2",\n "x": oops\n}\n')
+    (row,) = readers.errors(spark, str(tmp_path)).collect()
+    assert row.line == 3 and '"x": oops' in row.around and row.around.count("\n") == 4 and row.file_path.endswith("p2.json")
+    assert [r.problem_id for r in readers.documents(spark, str(tmp_path), ordered=True).collect()] == ["p1", "p10"]
+    (tmp_path / "none").mkdir()
+    with pytest.raises(FileNotFoundError):
+        readers.documents(spark, str(tmp_path / "none"), required=True)
+
+
+def test_seed_folders_and_limits(spark, tmp_path):
+    for name, files in (("2301.1", ()), ("plain", ()), ("kept", ("matched_pairs.yaml", "example_pairs.yaml"))):
+        (tmp_path / name).mkdir()
+        for f in files:
+            (tmp_path / name / f).write_text("---\n".join(f"problem: {{type: t, content: p{k}}}\nsolution: s\n" for k in range(3)) + "---\n")
+    assert readers.seed_directories(spark, str(tmp_path)) == ["2301.1", "kept"]
+    got = readers.seed_pairs(spark, str(tmp_path), examples=1, matched=2).collect()
+    assert sorted((r.arxiv_id, r.seed_type, r.pos, r.problem) for r in got) == [("kept", "example", 0, "p0"), ("kept", "matched", 0, "p0"), ("kept", "matched", 1, "p1")]
+
+
+def test_merged_save_scrubs_and_is_checked(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    base = spark.createDataFrame([("p1", '{"a": NaN}', "x"), ("p2", '{"a": 2}', None)], "problem_id string, body string, note string")
+    merge.save_merged(spark, path, base, "problem_id", ["body"])
+    merge.save_merged(spark, path, spark.createDataFrame([("p2", None, "new"), ("p3", '{"a": "inf"}', "z")], base.schema), "problem_id", ["body"])
+    assert {tuple(r) for r in spark.read.parquet(path).collect()} == {("p1", '{"a": null}', "x"), ("p2", '{"a": 2}', "new"), ("p3", '{"a": null}', "z")}
+
+
+def test_values_json_cannot_hold(spark):
+    code = "def f(z: complex, v: np.ndarray, t: tuple, n: int) -> complex:\n    return z * sum(v) + t[0] * n if isinstance(t, tuple) else None"
+    one = [(1, json.dumps({"z": {"re": 1, "im": 2}, "v": [1, 2], "t": [5], "n": "3"}))]
+    df = spark.createDataFrame([("a", code, one)], "id string, code string, cases array<struct<case_id:int,inputs:string>>")
+    row = cases.execute(df, "id", "code", "cases").first()
+    assert row.error is None and json.loads(row.results[0].output) == {"re": 18.0, "im": 6.0}
+    assert C.rehydrated(C.jsonable({"a": [1 + 2j, (3.0, None)], "b": "in"})) == {"a": [1 + 2j, [3.0, None]], "b": "in"} and C.rehydrated({"re": 1, "im": 0.5}) == 1 + 0.5j
+
+
+def test_report_text_forms(spark):
+    assert T.escaped("x² and y₁₂ → 5%") == "x$^{2}$ and y$_{12}$ $\\to$ 5\\%"
+    one = spark.range(1)
+    both = one.select(T.report_text(F.lit("<think>why</think> so")), T.report_text(F.lit("<think>why</think> so"), thoughts=True)).first()
+    assert both[0] == "so" and both[1] == "why so"
+
+
+def test_documents_due_for_their_seed_only(spark):
+    rows = [("a", ("matched",), (None,)), ("b", ("matched",), (80,)), ("c", None, (None,)), ("d", ("matched",), None)]
+    df = spark.createDataFrame(rows, "problem_id string, original_seed struct<seed_type:string>, quality struct<seed_correspondence:int>")
+    assert sorted(r.problem_id for r in grades.seed_only_due(df).collect()) == ["a", "d"]
