@@ -37,7 +37,8 @@ def unsafe_operations(code: str | None, args: list[str]) -> dict[str, list[str]]
                 out[name].append(risk)
 
     for node in ast.walk(tree):
-        if isinstance(node, ast.BinOp) and isinstance(node.op, (ast.Div, ast.FloorDiv, ast.Mod)):
+        formats = isinstance(node, ast.BinOp) and isinstance(node.left, (ast.Constant, ast.JoinedStr)) and not isinstance(getattr(node.left, "value", ""), (int, float, complex))
+        if isinstance(node, ast.BinOp) and isinstance(node.op, (ast.Div, ast.FloorDiv, ast.Mod)) and not formats:
             note(node.right, "division_by_zero")
         elif isinstance(node, ast.Call):
             called = node.func.attr if isinstance(node.func, ast.Attribute) else getattr(node.func, "id", "")

@@ -582,7 +582,7 @@ def synthesize_cases(spark, sf_dir):
     return cases.synthesize(record_functions(spark, sf_dir), "record_id", "code")
 
 
-@query()
+@query(f"WITH {NESTED_SQL} SELECT record_id, CASE WHEN regexp_matches(details->>'$.Code', '/ \\(\\w+ ') THEN regexp_extract(details->>'$.Code', '/ \\((\\w+) ', 1) || ':division_by_zero' ELSE '' END AS risks FROM top WHERE json_type(json_extract(details, '$.Code')) = 'VARCHAR'")
 def unsafe_operations(spark, sf_dir):
     """Risks of each record's function by its own arguments."""
 
