@@ -110,5 +110,5 @@ def output_types(cases: DataFrame, type_col: str = "output_type", problem: str =
     Types are counted first, so only the problems of rare types are ever collected.
     """
     counts = cases.groupBy(type_col).agg(F.count(F.lit(1)).alias("n"))
-    rare = cases.join(F.broadcast(counts.where(F.col("n") < list_below)), type_col).groupBy(type_col).agg(F.array_join(F.sort_array(F.collect_set(F.col(problem).cast("bigint"))), ",").alias("problems"))
+    rare = cases.join(counts.where(F.col("n") < list_below), type_col).groupBy(type_col).agg(F.array_join(F.sort_array(F.collect_set(F.col(problem).cast("bigint"))), ",").alias("problems"))
     return counts.join(rare, type_col, "left").select(type_col, "n", "problems")

@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Settings for local tests and the bench; a cluster brings its own.
 LOCAL_CONF = {
@@ -59,6 +60,15 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+#: Rows of a table that may be broadcast once they are counted.
+BROADCAST_ROWS = 200_000
+
+
+def bounded(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``most`` rows; else as it is, for Spark to join by shuffle."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df.hint("merge")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and go on from there (reliable checkpoint)."""
     shared_dir(df.sparkSession)
