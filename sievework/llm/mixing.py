@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.llm.bpe import DEFAULT_VOCABULARY, count_tokens
-from sievework.session import cut
+from sievework.session import BROADCAST_ROWS, bounded, cut
 
 #: Buckets of keys in a source: the boundary bucket holds about 1/BUCKETS of its documents.
 BUCKETS = 8192
@@ -66,13 +66,13 @@ def select(sized: DataFrame, plans: DataFrame, seed: int = 17) -> DataFrame:
     Ties of keys are broken by id; a document whose tokens would pass the budget ends
     the draw; documents without tokens are drawn as their keys come.
     """
-    listed = sized.where("source is not null").join(F.broadcast(plans.select("source", "epochs", "rest", "max_repeats")), "source")
+    listed = sized.where("source is not null").join(bounded(plans.select("source", "epochs", "rest", "max_repeats")), "source")
     keyed = listed.withColumn("key", draw_key("doc_id", "weight", seed)).withColumn("bucket", F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * BUCKETS).cast("int"))
     sums = keyed.where("rest > 0").groupBy("source", "bucket").agg(F.sum("tokens").alias("bucket_tokens"))
     so_far = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = sums.select("source", "bucket", F.coalesce(F.sum("bucket_tokens").over(so_far), F.lit(0)).alias("before"), "bucket_tokens")
-    # at most BUCKETS rows a source, whatever the corpus: safe to broadcast
-    placed = keyed.join(F.broadcast(before), ["source", "bucket"], "left")
+    # at most BUCKETS rows a source, whatever the corpus; broadcast while that is small
+    placed = keyed.join(F.broadcast(before) if plans.count() * BUCKETS <= BROADCAST_ROWS else before.hint("merge"), ["source", "bucket"], "left")
     whole = placed.where("before + bucket_tokens <= rest")
     edge = placed.where("rest > 0 and before <= rest and before + bucket_tokens > rest")
     running = Window.partitionBy("source", "bucket").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
