@@ -12,7 +12,8 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -104,41 +105,31 @@ class Model:
     seen: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
 
-def unpack(frame: pd.DataFrame, index: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def unpack(batch: pa.RecordBatch, index: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Rows, graders, votes (metric x n, -1: none) of a batch, and the features."""
-    sizes = frame["votes"].map(len).to_numpy(np.int64)
-    flat = [v for row in frame["votes"] for v in row]
-    row = np.repeat(np.arange(len(frame)), sizes)
-    grader = np.array([index[v["grader_id"]] for v in flat], np.int64)
-    vote = np.array([[-1 if v[m] is None or v[m] != v[m] else int(v[m]) for v in flat] for m in METRICS], np.int64).reshape(len(METRICS), len(flat))
-    features = np.stack(frame["features"].to_list()).astype(float) if len(frame) else np.zeros((0, 1))
-    return row, grader, vote, features
-
-
-def posteriors(model: Model, row: np.ndarray, grader: np.ndarray, vote: np.ndarray, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """P(pass) of each item by votes and classifier, and the number of its votes, per metric."""
-    out, counted = [], []
-    for m in range(len(METRICS)):
-        v = vote[m]
-        yes = np.log(model.right_pass[m]) - np.log1p(-model.right_fail[m])
-        no = np.log1p(-model.right_pass[m]) - np.log(model.right_fail[m])
-        ratio = np.where(v == 1, yes[grader], np.where(v == 0, no[grader], 0.0))
-        odds = features @ model.weights[m] + np.bincount(row, ratio, len(features))
-        out.append(1 / (1 + np.exp(-np.clip(odds, -500, 500))))
-        counted.append(np.bincount(row, v >= 0, len(features)))
-    return np.array(out), np.array(counted)
-
-
-def log_likelihood(model: Model, row: np.ndarray, grader: np.ndarray, vote: np.ndarray, features: np.ndarray) -> float:
-    """Of a batch's votes, labels summed out."""
-    total = 0.0
+    votes = batch.column("votes")
+    row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(votes).to_numpy(zero_copy_only=False).astype(np.int64))
+    flat = pc.list_flatten(votes)
+    named = flat.field("grader_id").dictionary_encode()
+    grader = np.array([index[g] for g in named.dictionary.to_pylist()], np.int64)[named.indices.to_numpy(zero_copy_only=False)] if len(flat) else np.zeros(0, np.int64)
+    vote = np.array([pc.fill_null(flat.field(m), -1).to_numpy(zero_copy_only=False) for m in METRICS], np.int64).reshape(len(METRICS), len(flat))
+    features = pc.list_flatten(batch.column("features")).to_numpy(zero_copy_only=False).astype(float)
+    return row, grader, vote, features.reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, 1))
+
+
+def sides(model: Model, row: np.ndarray, grader: np.ndarray, vote: np.ndarray, features: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """P(pass) of each item by votes and classifier, the number of its votes, per metric, and the batch's log likelihood with labels summed out."""
+    out, counted, total, n = [], [], 0.0, len(features)
     for m in range(len(METRICS)):
         v, z = vote[m], features @ model.weights[m]
-        if_pass = np.where(v == 1, np.log(model.right_pass[m])[grader], np.where(v == 0, np.log1p(-model.right_pass[m])[grader], 0.0))
-        if_fail = np.where(v == 1, np.log1p(-model.right_fail[m])[grader], np.where(v == 0, np.log(model.right_fail[m])[grader], 0.0))
-        n = len(features)
-        total += float(np.logaddexp(np.bincount(row, if_pass, n) - np.logaddexp(0, -z), np.bincount(row, if_fail, n) - np.logaddexp(0, z)).sum())
-    return total
+        # log P(vote | truth) by what was said: no vote, fail, pass
+        if_pass = np.stack([np.zeros(len(model.graders)), np.log1p(-model.right_pass[m]), np.log(model.right_pass[m])])[v + 1, grader]
+        if_fail = np.stack([np.zeros(len(model.graders)), np.log(model.right_fail[m]), np.log1p(-model.right_fail[m])])[v + 1, grader]
+        yes, no = np.bincount(row, if_pass, n), np.bincount(row, if_fail, n)
+        out.append(1 / (1 + np.exp(-np.clip(z + yes - no, -500, 500))))
+        counted.append(np.bincount(row, v >= 0, n))
+        total += float(np.logaddexp(yes - np.logaddexp(0, -z), no - np.logaddexp(0, z)).sum())
+    return np.array(out), np.array(counted), total
 
 
 def penalty(model: Model, ridge: np.ndarray) -> float:
@@ -169,12 +160,17 @@ def fit(items_df: DataFrame, graders: list[str]) -> Model:
     weights = np.zeros((n, d))
 
     def sums(current: Model | None, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-        def run(frames):
+        def run(batches):
             counts, gradient, hessian, evidence = np.zeros((n, k, 4)), np.zeros((n, d)), np.zeros((n, d, d)), 0.0
-            for frame in frames:
-                row, grader, vote, features = unpack(frame, index)
-                p, have = majorities(row, vote, len(features)) if current is None else posteriors(current, row, grader, vote, features)
-                evidence += 0.0 if current is None else log_likelihood(current, row, grader, vote, features)
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                row, grader, vote, features = unpack(batch, index)
+                if current is None:
+                    p, have = majorities(row, vote, len(features))
+                else:
+                    p, have, likely = sides(current, row, grader, vote, features)
+                    evidence += likely
                 for m in range(n):
                     ok = have[m] > 0
                     for truth, q in ((1, p[m]), (0, 1 - p[m])):
@@ -184,10 +180,11 @@ def fit(items_df: DataFrame, graders: list[str]) -> Model:
                     prior = 1 / (1 + np.exp(-features[ok] @ w[m]))
                     gradient[m] += features[ok].T @ (p[m][ok] - prior)
                     hessian[m] += (features[ok] * (prior * (1 - prior))[:, None]).T @ features[ok]
-            yield pd.DataFrame({"part": [np.concatenate([counts.ravel(), gradient.ravel(), hessian.ravel(), [evidence]])]})
+            part = np.concatenate([counts.ravel(), gradient.ravel(), hessian.ravel(), [evidence]])
+            yield pa.RecordBatch.from_arrays([pa.array([part.tolist()], pa.list_(pa.float64()))], names=["part"])
 
         size = n * k * 4 + n * d + n * d * d + 1
-        parts = items_df.mapInPandas(run, "part array<double>")
+        parts = items_df.select("votes", "features").mapInArrow(run, "part array<double>")
         added = parts.select(F.posexplode("part").alias("at", "x")).groupBy("at").agg(F.sum("x").alias("x")).collect()
         flat = np.zeros(size)
         for r in added:
@@ -228,24 +225,23 @@ def consensus(grades: DataFrame, features: DataFrame | None = None) -> tuple[Dat
     model = fit(ready, graders)
     index = {g: k for k, g in enumerate(graders)}
 
-    def decide(frames):
-        for frame in frames:
-            row, grader, vote, features = unpack(frame, index)
-            p, have = posteriors(model, row, grader, vote, features)
+    def decide(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            row, grader, vote, features = unpack(batch, index)
+            p, have, _ = sides(model, row, grader, vote, features)
             for m, metric in enumerate(METRICS):
-                ok = have[m] > 0
-                yes = np.bincount(row, vote[m] == 1, len(frame))
-                pairs = have[m] * (have[m] - 1) / 2
-                agree = (yes * (yes - 1) + (have[m] - yes) * (have[m] - yes - 1)) / 2
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    share = agree / pairs
-                yield pd.DataFrame({
-                    "problem_key": frame["problem_key"][ok], "metric": metric,
-                    "consensus": np.where(p[m] < 0.5, "fail", "pass")[ok], "p_fail": 1 - p[m][ok],
-                    "n_votes": have[m][ok].astype(np.int64), "agreement": pd.Series(share[ok], dtype="Float64").mask(pairs[ok] == 0).to_numpy(object, na_value=None),
-                })
-
-    decided = ready.mapInPandas(decide, "problem_key bigint, metric string, consensus string, p_fail double, n_votes bigint, agreement double")
+                ok = np.flatnonzero(have[m] > 0)
+                n = have[m][ok].astype(float)
+                yes = np.bincount(row, vote[m] == 1, batch.num_rows)[ok]
+                agree = (yes * (yes - 1) + (n - yes) * (n - yes - 1)) / np.maximum(n * (n - 1), 1)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("problem_key").take(pa.array(ok)), pa.array([metric] * len(ok), pa.string()), pa.array(np.where(p[m][ok] < 0.5, "fail", "pass").tolist(), pa.string()), pa.array(1 - p[m][ok]), pa.array(n.astype(np.int64)), pa.array(agree, mask=n < 2)],
+                    names=["problem_key", "metric", "consensus", "p_fail", "n_votes", "agreement"],
+                )
+
+    decided = ready.mapInArrow(decide, "problem_key bigint, metric string, consensus string, p_fail double, n_votes bigint, agreement double")
     rated = [
         (g, metric, int(round(model.seen[m, k])), float(model.right_pass[m, k]), float(model.right_fail[m, k]), float(model.right_pass[m, k] + model.right_fail[m, k] - 1))
         for k, g in enumerate(graders)
