@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sievework.functions import code as C
 from sievework.functions import text as T
 from sievework.operators import allocate, compare, grades, merge, nested, predicates, verdicts
+from sievework.operators.compare import rounded
 from sievework.plans import cases, pipeline, prompts, report
 from sievework.plans.providers import Stub, call_batches
 from sievework.queries import COUNTS_SQL, LATEST_SQL, LEVELS, NESTED_SQL, SPACE, TOTAL, VERDICTS_SQL, generation_prompts, good_grades, latest_of, level_attempts, query, record_cases, record_functions, table, verdict_facts, whole_context
@@ -367,7 +368,7 @@ def formatted_outputs(spark, sf_dir):
 
     @F.pandas_udf("string")
     def shown(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([compare.rounded([x, y]) for x, y in zip(a, b)])
+        return pd.Series([rounded([x, y]) for x, y in zip(a, b)])
 
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", shown(F.col("l_extendedprice") * F.col("l_discount"), F.col("l_tax") / 7).alias("shown"))
 
