@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sievework.operators.compare import scrubbed_json
-from sievework.sources.sinks import write_checked
+from sievework.sources.sinks import swap, write_checked
 
 
 def attempt_key(timestamp: Column, solution: Column) -> Column:
@@ -71,6 +71,12 @@ def same_keys(a: Column, b: Column) -> Column:
     return (F.size(F.array_except(F.map_keys(a), F.map_keys(b))) == 0) & (F.size(F.array_except(F.map_keys(b), F.map_keys(a))) == 0)
 
 
+def rewrite(spark: SparkSession, path: str, new: DataFrame) -> None:
+    """Replaces a table by ``new`` (which may read it): written beside it first, then swapped by renames."""
+    new.write.mode("overwrite").parquet(path + ".new")
+    swap(spark, path + ".new", path)
+
+
 def save_merged(spark: SparkSession, path: str, incoming: DataFrame, key: str, scrub: Sequence[str] = ()) -> None:
     """Updates a table of documents: fields of ``incoming`` win where they have a value, new documents are added.
 

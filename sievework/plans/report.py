@@ -30,10 +30,10 @@ def document(tables: dict[str, DataFrame]) -> str:
     return HEAD + "\n".join(table_of(df, title) for title, df in tables.items()) + TAIL
 
 
-def problem_sections(problems: DataFrame, title: Column, statement: Column, solution: Column) -> DataFrame:
-    """A LaTeX section per problem; text is converted and escaped where it is."""
+def problem_sections(problems: DataFrame, title: Column, statement: Column, solution: Column, keep: Sequence[str] = ()) -> DataFrame:
+    """A LaTeX section per problem, beside the columns to keep; text is converted and escaped where it is."""
     body = F.concat(F.lit("\\section{"), title, F.lit("}\n"), escaped_text(report_text(F.coalesce(statement, F.lit("")))), F.lit("\n\\subsection*{Solution}\n"), escaped_text(report_text(F.coalesce(solution, F.lit("")))), F.lit("\n"))
-    return problems.select(body.alias("section"))
+    return problems.select(*keep, body.alias("section"))
 
 
 def selected_attempts(attempts: DataFrame, n: int | None = None, correct_only: bool = False) -> DataFrame:

@@ -281,12 +281,16 @@ def seed_limit_index(spark, sf_dir):
     return allocate.numbered(both.orderBy("kind", "pair_id").limit(40), ["kind", "pair_id"], "index_no", 101)
 
 
-@query("""SELECT problem_key, count(d) OVER w AS earlier, last_value(d IGNORE NULLS) OVER w AS last_earlier
+@query("""SELECT problem_key, count(d) OVER w AS earlier, last_value(d IGNORE NULLS) OVER w AS last_earlier, CASE WHEN d IS NOT NULL THEN count(d) OVER w + 1 END AS position, d AS listed
   FROM (SELECT problem_key, topic_entry_id, CASE WHEN trim(problem_description) <> '' THEN problem_description END AS d FROM problem_metadata WHERE topic_entry_id IS NOT NULL)
   WINDOW w AS (PARTITION BY topic_entry_id ORDER BY problem_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
 def previous_context(spark, sf_dir):
+    """The running context of every problem: all descriptions listed in its topic at positions up to ``earlier``, the last of them beside it."""
     problems = table(spark, sf_dir, "problem_metadata").where("topic_entry_id is not null").select("problem_key", "topic_entry_id", "problem_description")
-    return allocate.latest_before(problems, "topic_entry_id", ["problem_key"], "problem_description").select("problem_key", "earlier", "last_earlier")
+    seen = allocate.before(problems, "topic_entry_id", ["problem_key"], "problem_description")
+    listed = F.when(F.length(F.trim("problem_description")) > 0, F.col("problem_description"))
+    position = F.when(listed.isNotNull(), F.col("earlier") + 1)
+    return seen.select("problem_key", "earlier", "last_earlier", position.alias("position"), listed.alias("listed"))
 
 
 @query("""SELECT problem_key, topic_entry_id, count(d) OVER w AS earlier, CASE WHEN d IS NOT NULL THEN count(d) OVER w + 1 END AS position, problem_description

@@ -113,6 +113,30 @@ def append_grades(spark, sf_dir):
     return grades.append(rows.where("not late").drop("late"), rows.where("late").drop("late"), ["problem_key", "grader_id"], "run_index", ["grade_row_id"])
 
 
+@query(f"WITH {LATEST_SQL} SELECT problem_key, grader_id, coalesce(problem_quality >= 70 AND solution_quality >= 70, false) AND (problem_quality_comment IS NULL OR coalesce(test_case_quality >= 70, false)) AS passed FROM latest")
+def qc_filter_optional(spark, sf_dir):
+    """The filter with a metric that counts only where its key is there: present but low, or null, fails; absent passes."""
+    optional = F.when(F.col("problem_quality_comment").isNull(), True).otherwise(F.coalesce(F.col("test_case_quality") >= 70, F.lit(False)))
+    return latest_of(spark, sf_dir).select("problem_key", "grader_id", grades.passes(("problem_quality", "solution_quality"), 0.7, optional).alias("passed"))
+
+
+@query("SELECT pair_id, seed_type IS NOT NULL AS due FROM matched_pairs WHERE seed_type IS NOT NULL AND pair_id NOT IN (SELECT problem_key FROM quality_grades WHERE problem_key IS NOT NULL AND loaded_at < '2024-06-01')")
+def seed_only_work(spark, sf_dir):
+    """Documents with a seed that no grade of its correspondence exists for."""
+    graded = table(spark, sf_dir, "quality_grades").where("problem_key is not null and loaded_at < timestamp'2024-06-01'").groupBy(F.col("problem_key").alias("pair_id")).agg(F.lit(1).alias("seed_correspondence"))
+    docs = table(spark, sf_dir, "matched_pairs").select("pair_id", F.when(F.col("seed_type").isNotNull(), F.struct("seed_type")).alias("original_seed")).join(graded, "pair_id", "left")
+    due = grades.seed_only_due(docs.withColumn("quality", F.struct("seed_correspondence")))
+    return due.select("pair_id", F.col("original_seed").isNotNull().alias("due"))
+
+
+@query("SELECT pair_id, '\\section{' || coalesce(seed_type, '') || '}' AS head, contains(coalesce(problem, ''), '<think>') AS thinks FROM matched_pairs")
+def report_sections(spark, sf_dir):
+    """A section of the report for every seed pair: its heading, and whether thoughts were dropped from it."""
+    rows = table(spark, sf_dir, "matched_pairs")
+    made = report.problem_sections(rows.withColumn("seed_type", F.coalesce("seed_type", F.lit(""))), F.col("seed_type"), F.col("problem"), F.col("solution"), keep=("pair_id", "problem"))
+    return made.select("pair_id", F.substring_index("section", "\n", 1).alias("head"), F.coalesce(F.col("problem").contains("<think>"), F.lit(False)).alias("thinks"))
+
+
 # --- merging --------------------------------------------------------------------------
 
 
