@@ -413,8 +413,9 @@ def judge(df: DataFrame, id_col: str = "pair_id", problem_col: str = "problem",
         parts, seen = sent.value
         fitted, places = Judge({x: Linear(*p) for x, p in parts.items()}) if parts else None, Places()
         for frame in frames:
-            for a in range(0, len(frame), 2000):
-                part = frame.iloc[a : a + 2000]
+            sizes = frame["problem"].str.len().fillna(0) + frame["solution"].str.len().fillna(0)
+            for a, b in truncation.slices(sizes.to_numpy(float)):
+                part = frame.iloc[a:b]
                 empty = np.array([not (s or "").strip("\u200b\ufeff \t\r\n") for s in part["solution"]], bool)
                 scores, defect = np.zeros((len(part), len(LABELS))), np.full(len(part), -1)
                 if fitted is not None:

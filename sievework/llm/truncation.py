@@ -13,6 +13,7 @@ import html
 import random
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -154,6 +155,16 @@ def bucket(word: str) -> int:
     return zlib.crc32(word.encode("utf-8", "surrogatepass")) & (WORD_BUCKETS - 1)
 
 
+def slices(sizes: np.ndarray, rows: int = 2000, most: int = 4_000_000) -> Iterator[tuple[int, int]]:
+    """Ranges of at most so many rows and characters (a longer text comes alone): what is worked on at once stays small."""
+    ends, start = np.cumsum(sizes), 0
+    while start < len(sizes):
+        full = int(np.searchsorted(ends, (ends[start - 1] if start else 0) + most, "right"))
+        stop = min(max(full, start + 1), start + rows)
+        yield start, stop
+        start = stop
+
+
 def count_batch(texts: pa.Array, total: np.ndarray) -> None:
     """Adds a batch of texts to ``total`` (3 x WORD_BUCKETS). A text's last word is not counted: it may be cut."""
     strings = [t for t in texts.to_pylist() if t and t.strip()]
@@ -194,7 +205,8 @@ def learn(texts: DataFrame, sample_rows: int) -> Learned:
     def run(batches):
         total, lengths = np.zeros((3, WORD_BUCKETS), np.int64), {}
         for batch in batches:
-            count_batch(batch.column("text"), total)
+            for a, b in slices(pc.utf8_length(batch.column("text")).to_numpy(zero_copy_only=False), batch.num_rows):
+                count_batch(batch.column("text").slice(a, b - a), total)
             kept = []
             for k, (source, text, place) in enumerate(zip(batch.column("source").to_pylist(), batch.column("text").to_pylist(), batch.column("spot").to_pylist())):
                 for unit, size in ((0, len(text)), (1, len(text.split()))):

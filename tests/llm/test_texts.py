@@ -444,3 +444,10 @@ def test_policies_read_one_stored_ledger(spark):
     texts = ["one two three four five six seven eight nine ten. " * 3, "a line of some words\n" * 4, "nothing said twice here", None, ""]
     book = repetition.stored(repetition.ledger(frame(spark, texts), "doc_id", "text"))
     assert {r.policy: (r.texts, r.rejected) for r in repetition.policies(book).collect()} == {p: (5, repetition.apply_policy(book, p).count()) for p in repetition.POLICIES}
+
+
+def test_slices_cover_all_rows():
+    sizes = np.array([5, 0, 9, 30, 1, 1, 1, 1, 0])
+    got = list(truncation.slices(sizes, 3, 10))
+    assert [k for a, b in got for k in range(a, b)] == list(range(9)) and all(b - a <= 3 and (sizes[a:b].sum() <= 10 or b - a == 1) for a, b in got)
+    assert list(truncation.slices(np.zeros(0))) == []
