@@ -80,3 +80,69 @@ def test_recall_against_brute_force(spark):
         x, y = np.nonzero(np.triu(common * 10 >= 7 * (size[:, None] + size[None] - common), 1))
         want |= {(name, min(rows[i].id, rows[j].id), max(rows[i].id, rows[j].id)) for i, j in zip(x, y)}
     assert {tuple(r) for r in neardup.found_pairs(records).collect()} == want and len(want) > 500
+
+
+def test_shares_are_all_signatures_each_once():
+    import numpy as np
+
+    draw = np.random.default_rng(3)
+    sizes = draw.integers(1, 120, 100)
+    words, of, t = draw.integers(0, 2**62, sizes.sum()), np.repeat(np.arange(100), sizes), np.ones(100, np.int64)
+    plan, place = neardup.plan_of(np.full(neardup.BUCKETS, 2), 100, 120)
+    whole = sorted(zip(*(x.tolist() for x in neardup.signatures_of(words, of, sizes, t, plan, place))))
+    for many in (2, 7, 300):
+        shares = [zip(*(x.tolist() for x in neardup.signatures_of(words, of, sizes, t, plan, place, (i, many)))) for i in range(many)]
+        assert sorted(x for share in shares for x in share) == whole
+
+
+def test_passes_find_all_pairs(spark, monkeypatch):
+    for name, value in (("CELL", 7), ("PASS_SHARE", 3), ("PASS_ROWS", 1), ("PASS_PAIRS", 20)):
+        monkeypatch.setattr(neardup, name, value)
+    draw = random.Random(6)
+    texts = []
+    for size in (9, 22, 64):
+        base = [f"w{k}" for k in range(size)]
+        texts += [" ".join(draw.sample(base, size - draw.randint(0, size // 5)) + [f"x{draw.randint(0, 40)}"]) for _ in range(14)]
+    sets = [frozenset(text.split()) for text in texts]
+    want = {(i, j) for j in range(len(sets)) for i in range(j) if len(sets[i] & sets[j]) * 10 >= len(sets[i] | sets[j]) * 7}
+    assert len(want) > 100 and linked(spark, texts, 3) == want
+
+
+def test_disk_within_four_times_the_input(spark, monkeypatch):
+    """Files of shuffles and of the shared folder, while pairs are looked for."""
+    import os
+    import threading
+
+    from sievework.session import shared_dir
+
+    monkeypatch.setattr(neardup, "PASS_ROWS", 1, raising=False)  # or the passes of such a table would be one
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    places = [*manager.localDirsString(), shared_dir(spark).removeprefix("file://")]
+
+    def used():
+        total = 0
+        for place in places:
+            for folder, _, names in os.walk(place):
+                for name in names:
+                    try:
+                        total += os.path.getsize(os.path.join(folder, name))
+                    except OSError:
+                        pass
+        return total
+
+    files = [f"/root/testdata/sf0.1/{name}.parquet" for name in ("problem_metadata", "matched_pairs")]
+    records = neardup.default_records(spark, lambda name: spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet"))
+    before, seen, over = used(), [0], threading.Event()
+
+    def watch():
+        while not over.wait(0.02):
+            seen.append(used())
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        assert neardup.found_pairs(records).count() > 500
+    finally:
+        over.set()
+        watcher.join()
+    assert max(seen) - before <= 4 * sum(os.path.getsize(x) for x in files)
