@@ -74,9 +74,10 @@ def response_cases(df: DataFrame, id_col: str, text_col: str, args: list[str]) -
     return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(run, f"id {kind}, cases {CASES}").withColumnRenamed("id", id_col)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows that each start processes, dealt out over all cores: what they carry is small against what they cost."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+def spread(df: DataFrame, *together: str) -> DataFrame:
+    """Rows that each start processes, dealt out over all cores: what they carry is small against what they cost. Rows that agree in ``together`` are neighbours."""
+    tasks = 3 * df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(tasks, *together).sortWithinPartitions(*together) if together else df.repartition(tasks)
 
 
 def synthesize(df: DataFrame, id_col: str, code_col: str, count: int = 5) -> DataFrame:
@@ -90,27 +91,34 @@ def synthesize(df: DataFrame, id_col: str, code_col: str, count: int = 5) -> Dat
     return df.select(F.col(id_col).cast("string").alias("id"), F.col(code_col).alias("code")).mapInPandas(run, "id string, case_id int, inputs string").withColumnRenamed("id", id_col)
 
 
-def execute(df: DataFrame, id_col: str, code_col: str, cases_col: str, seconds: float = 10.0) -> DataFrame:
-    """(id, error, results) of code on its cases, each problem in a child process."""
+def execute(df: DataFrame, id_col: str, code_col: str, cases_col: str, seconds: float = 10.0, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, error, results) of code on its cases, each problem in a child process; then the columns ``keep`` as they were."""
 
     def run(frames):
-        for frame in frames:
-            rows = []
-            for i, code, cases in zip(frame["id"], frame["code"], frame["cases"]):
-                got = sandbox.run(code, [typed_inputs(parsed(c["inputs"]), code) for c in (cases if cases is not None else [])], seconds, kinds=C.argument_types(code))
-                rows.append((i, got["error"], [{"case_id": int(c["case_id"]), "output": json.dumps(r["output"]), "output_type": r["type"]} for c, r in zip(cases if cases is not None else [], got["results"])]))
-            yield pd.DataFrame(rows, columns=["id", "error", "results"])
-
-    source = df.select(F.col(id_col).alias("id"), F.col(code_col).alias("code"), F.col(cases_col).cast(CASES).alias("cases"))
-    return spread(source).mapInPandas(run, f"id {df.schema[id_col].dataType.simpleString()}, error string, results {RESULTS}").withColumnRenamed("id", id_col)
-
-
-def typed_inputs(inputs: object, code: str | None) -> dict:
+        with sandbox.Sandbox() as box:
+            for frame in frames:
+                errors, results = [], []
+                for code, cases in zip(frame["code"], frame["cases"]):
+                    kinds, cases = C.argument_types(code), cases if cases is not None else []
+                    got = box.run(code, [typed_inputs(parsed(c["inputs"]), code, kinds) for c in cases], seconds, kinds=kinds)
+                    errors.append(got["error"])
+                    results.append([{"case_id": int(c["case_id"]), "output": json.dumps(r["output"]), "output_type": r["type"]} for c, r in zip(cases, got["results"])])
+                out = frame[["id", *kept]].copy()
+                out["error"], out["results"] = pd.Series(errors, dtype=object, index=out.index), pd.Series(results, dtype=object, index=out.index)
+                yield out
+
+    kept = {f"_{k}": c for k, c in enumerate(keep)}
+    source = df.select(F.col(id_col).alias("id"), F.col(code_col).alias("code"), F.col(cases_col).cast(CASES).alias("cases"), *(F.col(c).alias(k) for k, c in kept.items()))
+    schema = ", ".join([f"id {df.schema[id_col].dataType.simpleString()}, error string, results {RESULTS}", *(f"{k} {df.schema[c].dataType.simpleString()}" for k, c in kept.items())])
+    return spread(source).mapInPandas(run, schema).select(F.col("id").alias(id_col), "error", "results", *(F.col(k).alias(c) for k, c in kept.items()))
+
+
+def typed_inputs(inputs: object, code: str | None, kinds: dict[str, str] | None = None) -> dict:
     """Inputs as the types of the function's arguments, those that cannot be converted as they are; none if they are no object.
 
     Complex numbers, tuples and arrays stay in their JSON form: the child process makes them.
     """
-    kinds = C.argument_types(code)
+    kinds = C.argument_types(code) if kinds is None else kinds
     if not isinstance(inputs, dict):
         return {}
     return {name: C.coerced(value, kinds[name]) if kinds.get(name) in ("int", "float", "bool") and value is not None else value for name, value in inputs.items()}
@@ -153,32 +161,35 @@ def updated_outputs(df: DataFrame, id_col: str, code_col: str, cases_col: str) -
     return both.select(F.col("id").alias(id_col), "error", F.when(F.col("error").isNull(), new).otherwise(F.col("cases")).alias("cases"))
 
 
-def grade(df: DataFrame, keys: list[str], standard_col: str, attempt_col: str, cases_col: str, seconds: float = 12.0, tolerance: float = TOLERANCE) -> DataFrame:
+def grade(df: DataFrame, keys: list[str], standard_col: str, attempt_col: str, cases_col: str, seconds: float = 12.0, tolerance: float = TOLERANCE, together: tuple[str, ...] = ()) -> DataFrame:
     """keys, verified (1, 0), error, matches per case: the attempt's function against the standard one's.
 
-    The standard code runs once for each distinct (code, cases) of a batch.
+    The standard code runs once for each distinct (code, cases) of a batch; keys ``together``, if they tell standards apart
+    and no value has very many attempts, bring its attempts into one batch.
     """
 
     def run(frames):
-        for frame in frames:
-            known: dict[tuple, dict] = {}
-            verified, errors, matches = [], [], []
-            for standard, attempt, cases in zip(frame["_s"], frame["_a"], frame["_c"]):
-                inputs = [typed_inputs(parsed(c["inputs"]), standard) for c in (cases if cases is not None else [])]
-                at = (standard, json.dumps(inputs))
-                if at not in known:
-                    known[at] = sandbox.run(standard, inputs, seconds, kinds=C.argument_types(standard))
-                want = known[at]
-                got = sandbox.run(attempt, inputs, seconds, kinds=C.argument_types(standard)) if not want["error"] else {"error": None, "results": []}
-                error = f"standard: {want['error']}" if want["error"] else got["error"]
-                same = [alike(a["output"], b["output"], tolerance) for a, b in zip(want["results"], got["results"])]
-                verified.append(int(not error and bool(same) and all(same)))
-                errors.append(error)
-                matches.append(same)
-            out = frame[keys].copy()
-            out["verified"], out["error"], out["matches"] = verified, pd.Series(errors, dtype=object, index=out.index), pd.Series(matches, index=out.index)
-            yield out
+        with sandbox.Sandbox() as box:
+            for frame in frames:
+                known: dict[tuple, dict] = {}
+                verified, errors, matches = [], [], []
+                for standard, attempt, cases in zip(frame["_s"], frame["_a"], frame["_c"]):
+                    kinds = C.argument_types(standard)
+                    inputs = [typed_inputs(parsed(c["inputs"]), standard, kinds) for c in (cases if cases is not None else [])]
+                    at = (standard, json.dumps(inputs))
+                    if at not in known:
+                        known[at] = box.run(standard, inputs, seconds, kinds=kinds)
+                    want = known[at]
+                    got = box.run(attempt, inputs, seconds, kinds=kinds) if not want["error"] else {"error": None, "results": []}
+                    error = f"standard: {want['error']}" if want["error"] else got["error"]
+                    same = [alike(a["output"], b["output"], tolerance) for a, b in zip(want["results"], got["results"])]
+                    verified.append(int(not error and bool(same) and all(same)))
+                    errors.append(error)
+                    matches.append(same)
+                out = frame[keys].copy()
+                out["verified"], out["error"], out["matches"] = verified, pd.Series(errors, dtype=object, index=out.index), pd.Series(matches, index=out.index)
+                yield out
 
     schema = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys) + ", verified int, error string, matches array<boolean>"
     source = df.select(*keys, F.col(standard_col).alias("_s"), F.col(attempt_col).alias("_a"), F.col(cases_col).cast(CASES).alias("_c"))
-    return spread(source).mapInPandas(run, schema)
+    return spread(source, *together).mapInPandas(run, schema)

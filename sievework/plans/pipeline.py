@@ -265,7 +265,7 @@ def evaluate(problems: DataFrame, attempts: DataFrame, config: Config) -> tuple[
     """
     said = call(top_up(problems, attempts, config).select("problem_id", "model", "attempt_no", "code", "cases", "prompt"), config.provider, "prompt", "model")
     tried = cut(said.where("response <> ''").withColumn("attempt_code", T.last_code(F.col("response"))))
-    new = cases.grade(tried, ["problem_id", "model", "attempt_no"], "code", "attempt_code", "cases").select("problem_id", "model", "attempt_no", "verified")
+    new = cases.grade(tried, ["problem_id", "model", "attempt_no"], "code", "attempt_code", "cases", together=("problem_id", "model")).select("problem_id", "model", "attempt_no", "verified")
     every = cut(attempts.select("problem_id", "model", "attempt_no", "verified").unionByName(new))
     rates = verdicts.verification_metrics(every)
     best = verdicts.best_of_n(every.where(F.col("attempt_no") <= config.max_k), "problem_id")
