@@ -161,11 +161,28 @@ def updated_outputs(df: DataFrame, id_col: str, code_col: str, cases_col: str) -
     return both.select(F.col("id").alias(id_col), "error", F.when(F.col("error").isNull(), new).otherwise(F.col("cases")).alias("cases"))
 
 
-def grade(df: DataFrame, keys: list[str], standard_col: str, attempt_col: str, cases_col: str, seconds: float = 12.0, tolerance: float = TOLERANCE, together: tuple[str, ...] = ()) -> DataFrame:
+def standard_runs(df: DataFrame, standard_col: str, cases_col: str, out: str, seconds: float = 12.0) -> DataFrame:
+    """``df`` with ``out``: what the standard code gives on its cases, as JSON; for ``grade`` where the same rows are graded again and again."""
+
+    def run(frames):
+        with sandbox.Sandbox() as box:
+            for frame in frames:
+                made = []
+                for standard, cases in zip(frame[standard_col], frame[cases_col]):
+                    kinds = C.argument_types(standard)
+                    inputs = [typed_inputs(parsed(c["inputs"]), standard, kinds) for c in (cases if cases is not None else [])]
+                    made.append(json.dumps(box.run(standard, inputs, seconds, kinds=kinds)))
+                yield frame.assign(**{out: pd.Series(made, dtype=object, index=frame.index)})
+
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields), f"`{out}` string"])
+    return spread(df).mapInPandas(run, schema)
+
+
+def grade(df: DataFrame, keys: list[str], standard_col: str, attempt_col: str, cases_col: str, seconds: float = 12.0, tolerance: float = TOLERANCE, together: tuple[str, ...] = (), ran_col: str | None = None) -> DataFrame:
     """keys, verified (1, 0), error, matches per case: the attempt's function against the standard one's.
 
     The standard code runs once for each distinct (code, cases) of a batch; keys ``together``, if they tell standards apart
-    and no value has very many attempts, bring its attempts into one batch.
+    and no value has very many attempts, bring its attempts into one batch. With ``ran_col`` (see ``standard_runs``) it doesn't run.
     """
 
     def run(frames):
@@ -173,12 +190,12 @@ def grade(df: DataFrame, keys: list[str], standard_col: str, attempt_col: str, c
             for frame in frames:
                 known: dict[tuple, dict] = {}
                 verified, errors, matches = [], [], []
-                for standard, attempt, cases in zip(frame["_s"], frame["_a"], frame["_c"]):
+                for standard, attempt, cases, ran in zip(frame["_s"], frame["_a"], frame["_c"], frame["_r"]):
                     kinds = C.argument_types(standard)
                     inputs = [typed_inputs(parsed(c["inputs"]), standard, kinds) for c in (cases if cases is not None else [])]
                     at = (standard, json.dumps(inputs))
                     if at not in known:
-                        known[at] = box.run(standard, inputs, seconds, kinds=kinds)
+                        known[at] = json.loads(ran) if isinstance(ran, str) else box.run(standard, inputs, seconds, kinds=kinds)
                     want = known[at]
                     got = box.run(attempt, inputs, seconds, kinds=kinds) if not want["error"] else {"error": None, "results": []}
                     error = f"standard: {want['error']}" if want["error"] else got["error"]
@@ -191,5 +208,6 @@ def grade(df: DataFrame, keys: list[str], standard_col: str, attempt_col: str, c
                 yield out
 
     schema = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys) + ", verified int, error string, matches array<boolean>"
-    source = df.select(*keys, F.col(standard_col).alias("_s"), F.col(attempt_col).alias("_a"), F.col(cases_col).cast(CASES).alias("_c"))
+    ran = F.col(ran_col) if ran_col else F.lit(None).cast("string")
+    source = df.select(*keys, F.col(standard_col).alias("_s"), F.col(attempt_col).alias("_a"), F.col(cases_col).cast(CASES).alias("_c"), ran.alias("_r"))
     return spread(source, *together).mapInPandas(run, schema)

@@ -204,11 +204,11 @@ def solve(problems: DataFrame, config: Config, results: DataFrame | None = None)
     if config.dry_run:
         return todo.select("problem_id")
     ends: DataFrame | None = None
-    open_ = todo
+    open_ = cut(cases.standard_runs(todo.select("problem_id", "statement", "code", F.col("cases").cast(cases.CASES).alias("cases")), "code", "cases", "ran"))
     for k in range(1, config.max_k + 1):
         asked = open_.withColumn("prompt", prompts.solving(F.col("statement"), F.lit(None).cast("string"), F.col("code"), F.lit(k))).withColumn("model", F.lit(config.solver))
-        said = call(asked.select("problem_id", "code", "cases", "prompt", "model"), config.provider, "prompt", "model").withColumn("attempt_code", T.last_code(F.col("response")))
-        judged = cut(cases.grade(said, ["problem_id"], "code", "attempt_code", "cases"))
+        said = call(asked.select("problem_id", "code", "cases", "ran", "prompt", "model"), config.provider, "prompt", "model").withColumn("attempt_code", T.last_code(F.col("response")))
+        judged = cut(cases.grade(said, ["problem_id"], "code", "attempt_code", "cases", ran_col="ran"))
         solved = judged.where("verified = 1").select("problem_id", F.lit(True).alias("passed"), F.lit(k).alias("attempts_needed"))
         ends = solved if ends is None else ends.unionByName(solved)
         open_ = open_.join(solved.select("problem_id"), "problem_id", "left_anti")

@@ -1,10 +1,13 @@
 """Candidate code in forked children: cheap, apart from each other, and of the same outcome as in a process of its own."""
 
+import json
 import time
 
+from pyspark.sql import functions as F
+
 from sievework.functions import sandbox
-from sievework.plans import cases
-from tests.test_plans import GOOD
+from sievework.plans import cases, pipeline
+from tests.test_plans import GOOD, Scripted
 
 #: The module os, by a way that the few names leave open.
 OS = "[m for k, m in __import__.__globals__['sys'].modules.items() if k == 'os'][0]"
@@ -39,3 +42,20 @@ def test_attempts_of_one_problem_are_neighbours(spark):
     df = spark.createDataFrame([(k % 50, k) for k in range(200)], "p int, a int")
     parts = [[r.p for r in part] for part in cases.spread(df, "p").rdd.glom().collect()]
     assert all(part == sorted(part) for part in parts) and all(sum(p in part for part in parts) == 1 for p in range(50))
+
+
+def test_rounds_of_solving_run_the_standard_once(spark, monkeypatch):
+    asked = []
+
+    def told(df, standard_col, cases_col, out, **_):
+        asked.append(out)
+        # what no run of the standard gives: attempts are held against it all the same
+        return df.withColumn(out, F.lit(json.dumps({"error": None, "results": [{"output": 0, "type": "int"}]})))
+
+    rows = [(f"p{k}", s, GOOD, [(1, json.dumps({"x": 1}))]) for k, s in enumerate(["right", "wrong"])]
+    problems = spark.createDataFrame(rows, "problem_id string, statement string, code string, cases array<struct<case_id:int,inputs:string>>")
+    config = pipeline.Config(provider=Scripted(), max_k=2)
+    assert {tuple(r) for r in pipeline.solve(problems, config).collect()} == {("p0", True, 1), ("p1", False, 2)}
+    monkeypatch.setattr(cases, "standard_runs", told)
+    assert {tuple(r) for r in pipeline.solve(problems, config).collect()} == {("p0", False, 2), ("p1", True, 1)}
+    assert asked == ["ran"]
