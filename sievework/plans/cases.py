@@ -133,8 +133,7 @@ def repair(df: DataFrame, provider: Provider, model: str, id_col: str = "problem
     now = df.select(F.col(id_col).alias("id"), F.col(code_col).alias("code"), F.col(cases_col).cast(CASES).alias("cases"), reviews.alias("reviews"))
     out: DataFrame | None = None
     for turn in range(rounds + 1):
-        ran = execute(now, "id", "code", "cases")
-        held = cut(now.join(ran, "id").withColumn("repairs", F.lit(turn)))
+        held = cut(execute(now, "id", "code", "cases", keep=("code", "cases", "reviews")).withColumn("repairs", F.lit(turn)))
         wanted = F.col("error").isNotNull() | ((F.lit(turn) == 0) & (F.coalesce(F.size("reviews"), F.lit(0)) > 0))
         done = held if turn == rounds else held.where(~wanted)
         done = done.select("id", "code", "error", "results", "repairs")

@@ -59,3 +59,8 @@ def test_rounds_of_solving_run_the_standard_once(spark, monkeypatch):
     monkeypatch.setattr(cases, "standard_runs", told)
     assert {tuple(r) for r in pipeline.solve(problems, config).collect()} == {("p0", False, 2), ("p1", True, 1)}
     assert asked == ["ran"]
+
+
+def test_repair_keeps_rows_of_equal_or_no_ids(spark):
+    df = spark.createDataFrame([(i, GOOD, [(1, json.dumps({"x": x}))]) for i, x in (("a", 1), ("a", 5), (None, 7))], "id string, code string, cases array<struct<case_id:int,inputs:string>>")
+    assert sorted(r.results[0].output for r in cases.repair(df, Scripted(), "m", "id").collect()) == ["2", "6", "8"]
