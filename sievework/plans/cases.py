@@ -153,11 +153,10 @@ def updated_outputs(df: DataFrame, id_col: str, code_col: str, cases_col: str) -
 
     ``cases_col``: array<struct<case_id, inputs, output, output_type>>.
     """
-    bare = df.withColumn(cases_col, F.transform(cases_col, lambda c: F.struct(c["case_id"].alias("case_id"), c["inputs"].alias("inputs"))))
-    ran = execute(bare, id_col, code_col, cases_col)
+    bare = F.transform(cases_col, lambda c: F.struct(c["case_id"].alias("case_id"), c["inputs"].alias("inputs")))
+    ran = execute(df.select(F.col(id_col).alias("id"), F.col(code_col).alias("code"), bare.alias("bare"), F.col(cases_col).alias("cases")), "id", "code", "bare", keep=("cases",))
     new = F.transform("cases", lambda c: F.struct(c["case_id"].alias("case_id"), c["inputs"].alias("inputs"), *(F.coalesce(F.try_element_at(F.filter("results", lambda r: r["case_id"] == c["case_id"]), F.lit(1))[x], c[x]).alias(x) for x in ("output", "output_type"))))
-    both = df.select(F.col(id_col).alias("id"), F.col(cases_col).alias("cases")).join(ran.withColumnRenamed(id_col, "id"), "id")
-    return both.select(F.col("id").alias(id_col), "error", F.when(F.col("error").isNull(), new).otherwise(F.col("cases")).alias("cases"))
+    return ran.select(F.col("id").alias(id_col), "error", F.when(F.col("error").isNull(), new).otherwise(F.col("cases")).alias("cases"))
 
 
 def standard_runs(df: DataFrame, standard_col: str, cases_col: str, out: str, seconds: float = 12.0) -> DataFrame:

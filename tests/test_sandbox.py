@@ -64,3 +64,9 @@ def test_rounds_of_solving_run_the_standard_once(spark, monkeypatch):
 def test_repair_keeps_rows_of_equal_or_no_ids(spark):
     df = spark.createDataFrame([(i, GOOD, [(1, json.dumps({"x": x}))]) for i, x in (("a", 1), ("a", 5), (None, 7))], "id string, code string, cases array<struct<case_id:int,inputs:string>>")
     assert sorted(r.results[0].output for r in cases.repair(df, Scripted(), "m", "id").collect()) == ["2", "6", "8"]
+
+
+def test_updated_outputs_keep_rows_of_equal_or_no_ids(spark):
+    kind = "array<struct<case_id:int,inputs:string,output:string,output_type:string>>"
+    df = spark.createDataFrame([(i, GOOD, [(1, json.dumps({"x": x}), "old", "str")]) for i, x in (("a", 1), ("a", 5), (None, 7))], f"id string, code string, cases {kind}")
+    assert sorted(tuple(r.cases[0]) for r in cases.updated_outputs(df, "id", "code", "cases").collect()) == [(1, '{"x": 1}', "2", "int"), (1, '{"x": 5}', "6", "int"), (1, '{"x": 7}', "8", "int")]
