@@ -97,12 +97,10 @@ def execute(df: DataFrame, id_col: str, code_col: str, cases_col: str, seconds:
     def run(frames):
         with sandbox.Sandbox() as box:
             for frame in frames:
-                errors, results = [], []
-                for code, cases in zip(frame["code"], frame["cases"]):
-                    kinds, cases = C.argument_types(code), cases if cases is not None else []
-                    got = box.run(code, [typed_inputs(parsed(c["inputs"]), code, kinds) for c in cases], seconds, kinds=kinds)
-                    errors.append(got["error"])
-                    results.append([{"case_id": int(c["case_id"]), "output": json.dumps(r["output"]), "output_type": r["type"]} for c, r in zip(cases, got["results"])])
+                given = [c if c is not None else [] for c in frame["cases"]]
+                ran = box.run_all([call_of(code, code, cases) for code, cases in zip(frame["code"], given)], seconds)
+                errors = [r["error"] for r in ran]
+                results = [[{"case_id": int(c["case_id"]), "output": json.dumps(r["output"]), "output_type": r["type"]} for c, r in zip(cases, got["results"])] for cases, got in zip(given, ran)]
                 out = frame[["id", *kept]].copy()
                 out["error"], out["results"] = pd.Series(errors, dtype=object, index=out.index), pd.Series(results, dtype=object, index=out.index)
                 yield out
@@ -113,6 +111,12 @@ def execute(df: DataFrame, id_col: str, code_col: str, cases_col: str, seconds:
     return spread(source).mapInPandas(run, schema).select(F.col("id").alias(id_col), "error", "results", *(F.col(k).alias(c) for k, c in kept.items()))
 
 
+def call_of(standard: str | None, code: str | None, cases: list | None) -> tuple[str | None, list[dict], dict[str, str]]:
+    """A call of the sandbox: code on inputs as the types of the standard function's arguments."""
+    kinds = C.argument_types(standard)
+    return code, [typed_inputs(parsed(c["inputs"]), standard, kinds) for c in (cases if cases is not None else [])], kinds
+
+
 def typed_inputs(inputs: object, code: str | None, kinds: dict[str, str] | None = None) -> dict:
     """Inputs as the types of the function's arguments, those that cannot be converted as they are; none if they are no object.
 
@@ -165,11 +169,7 @@ def standard_runs(df: DataFrame, standard_col: str, cases_col: str, out: str, se
     def run(frames):
         with sandbox.Sandbox() as box:
             for frame in frames:
-                made = []
-                for standard, cases in zip(frame[standard_col], frame[cases_col]):
-                    kinds = C.argument_types(standard)
-                    inputs = [typed_inputs(parsed(c["inputs"]), standard, kinds) for c in (cases if cases is not None else [])]
-                    made.append(json.dumps(box.run(standard, inputs, seconds, kinds=kinds)))
+                made = [json.dumps(r) for r in box.run_all([call_of(code, code, cases) for code, cases in zip(frame[standard_col], frame[cases_col])], seconds)]
                 yield frame.assign(**{out: pd.Series(made, dtype=object, index=frame.index)})
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields), f"`{out}` string"])
@@ -186,16 +186,16 @@ def grade(df: DataFrame, keys: list[str], standard_col: str, attempt_col: str, c
     def run(frames):
         with sandbox.Sandbox() as box:
             for frame in frames:
-                known: dict[tuple, dict] = {}
+                calls = [call_of(standard, standard, cases) for standard, cases in zip(frame["_s"], frame["_c"])]
+                at = [(code, json.dumps(inputs)) for code, inputs, _ in calls]
+                known = {k: json.loads(ran) for k, ran in zip(at, frame["_r"]) if isinstance(ran, str)}
+                first = {k: call for k, call in zip(at, calls) if k not in known}
+                known |= zip(first, box.run_all(list(first.values()), seconds))
+                tried = [k for k in range(len(at)) if not known[at[k]]["error"]]
+                ran = dict(zip(tried, box.run_all([(frame["_a"].iloc[k], *calls[k][1:]) for k in tried], seconds)))
                 verified, errors, matches = [], [], []
-                for standard, attempt, cases, ran in zip(frame["_s"], frame["_a"], frame["_c"], frame["_r"]):
-                    kinds = C.argument_types(standard)
-                    inputs = [typed_inputs(parsed(c["inputs"]), standard, kinds) for c in (cases if cases is not None else [])]
-                    at = (standard, json.dumps(inputs))
-                    if at not in known:
-                        known[at] = json.loads(ran) if isinstance(ran, str) else box.run(standard, inputs, seconds, kinds=kinds)
-                    want = known[at]
-                    got = box.run(attempt, inputs, seconds, kinds=kinds) if not want["error"] else {"error": None, "results": []}
+                for k, want in enumerate(map(known.get, at)):
+                    got = ran.get(k, {"error": None, "results": []})
                     error = f"standard: {want['error']}" if want["error"] else got["error"]
                     same = [alike(a["output"], b["output"], tolerance) for a, b in zip(want["results"], got["results"])]
                     verified.append(int(not error and bool(same) and all(same)))

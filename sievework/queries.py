@@ -613,7 +613,7 @@ def execute_and_grade(spark, sf_dir):
     own = records.select("record_id", F.lit(None).cast("bigint").alias("attempt_id"), "code", F.col("code").alias("attempt"), "cases")
     found = table(spark, sf_dir, "model_solutions").select("attempt_id", "problem_key", T.last_code(F.col("detailed_solution")).alias("attempt")).where("attempt is not null")
     tried = own.unionByName(records.join(found, "problem_key").select("record_id", "attempt_id", "code", "attempt", "cases"))
-    return cases.grade(tried, ["record_id", "attempt_id"], "code", "attempt", "cases").select("record_id", "attempt_id", "verified", "error")
+    return cases.grade(tried, ["record_id", "attempt_id"], "code", "attempt", "cases", together=("record_id",)).select("record_id", "attempt_id", "verified", "error")
 
 
 @query()

@@ -70,3 +70,30 @@ def test_updated_outputs_keep_rows_of_equal_or_no_ids(spark):
     kind = "array<struct<case_id:int,inputs:string,output:string,output_type:string>>"
     df = spark.createDataFrame([(i, GOOD, [(1, json.dumps({"x": x}), "old", "str")]) for i, x in (("a", 1), ("a", 5), (None, 7))], f"id string, code string, cases {kind}")
     assert sorted(tuple(r.cases[0]) for r in cases.updated_outputs(df, "id", "code", "cases").collect()) == [(1, '{"x": 1}', "2", "int"), (1, '{"x": 5}', "6", "int"), (1, '{"x": 7}', "8", "int")]
+
+
+def test_only_plain_arithmetic_shares_a_child():
+    plain = ["def f(x: float) -> float:\n    '''Doc.'''\n    if x < 6 & 1 > 0:\n        return 1\n    print('%s' % (x,))\n    return math.sqrt(x) / (x + 1.5)", GOOD]
+    other = [
+        "x = []\ndef f(x):\n    return x", "def f(x):\n    while x: pass", "def f(x):\n    global y\n    y = x", "def f(x):\n    math.pi = 3", "def f(x, y=[]):\n    return y", "import math\ndef f(x):\n    return x",
+        "def f(x):\n    return __builtins__", "def f(x):\n    return x.y", "def f(x):\n    return f(x)", "def f(x):\n    def g():\n        return 1\n    return g()", "@print\ndef f(x):\n    return x", "def f(x):\n    print(x, file=x)", "def f(x", "def abs(x):\n    return x",
+    ]
+    assert all(map(sandbox.plain_arithmetic, plain)) and not any(map(sandbox.plain_arithmetic, other))
+
+
+def test_calls_that_share_a_child_have_the_results_of_calls_alone():
+    codes = [GOOD, "def f(x: int):\n    return 1 / x", "def f(x):\n    return 'a' * 10**10", "math.floor = None\ndef f(x):\n    return 1", "def f(x):\n    return math.floor(x)", None, "def f(x", "def f(x):\n    return 10**5000"]
+    calls = [(code, [{"x": x}], {}) for x in (0, 1) for code in codes]
+    with sandbox.Sandbox() as box:
+        assert box.run_all(calls) == [box.run(*call[:2]) for call in calls]
+        slow = [("def f(x):\n    return 9 ** 9 ** 9 ** x", [{"x": 9}], {}), (GOOD, [{"x": 1}], {})]
+        assert [r["error"] for r in box.run_all(slow, seconds=1)] == ["timed out", None]
+
+
+def test_three_hundred_runs_need_few_children(monkeypatch):
+    asked = []
+    real = sandbox.Sandbox.asked
+    monkeypatch.setattr(sandbox.Sandbox, "asked", lambda *a: asked.append(1) or real(*a))
+    with sandbox.Sandbox() as box:
+        assert [r["results"][0]["output"] for r in box.run_all([(GOOD, [{"x": k}], {}) for k in range(300)])] == list(range(1, 301))
+    assert len(asked) == 6
